@@ -62,4 +62,4 @@ def query(name: str, sql: str | None = None, digits: int = 6):
 
 
 def load_all() -> None:
-    from catalogue import accuracy, cleaning, detection, exploration, features, intake, monitoring  # noqa: F401
+    from catalogue import accuracy, cleaning, detection, exploration, features, intake, models, monitoring, streams  # noqa: F401

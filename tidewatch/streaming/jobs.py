@@ -43,7 +43,7 @@ def score(requests: DataFrame, model, payload: str = "features") -> DataFrame:
     return model.predict(aligned(requests, model.features, payload))
 
 
-def detect(requests: DataFrame, calibration: DataFrame | None = None, keys=("series",), k: float = RESIDUAL_MULTIPLIER) -> DataFrame:
+def detect(requests: DataFrame, calibration: DataFrame | None = None, keys=("series",), k: float = RESIDUAL_MULTIPLIER, keep=()) -> DataFrame:
     """Anomaly check of actual against predicted.
 
     With stored calibration (a static frame of ``residual_std``) the residual
@@ -65,7 +65,7 @@ def detect(requests: DataFrame, calibration: DataFrame | None = None, keys=("ser
     flag = F.when(usable, size > limit).otherwise(plain > 0.3)
     rows = rows.withColumn("anomaly_score", value).withColumn("is_anomaly", flag)
     return rows.select(
-        *keys, "timestamp", "actual", "predicted", "anomaly_score", "is_anomaly",
+        *keep, *keys, "timestamp", "actual", "predicted", "anomaly_score", "is_anomaly",
         severity("anomaly_score", "is_anomaly").alias("severity"),
         F.when(usable, "residual").otherwise("zscore_fallback").alias("method"),
     )
