@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewatch.functions.scalar import fallback_score, severity
-from tidewatch.operators.chunks import chunk_window, chunked, rolling
+from tidewatch.operators.chunks import chunk_window, chunked, join_by_chunk, rolling
 from tidewatch.operators.joins import attach
 from tidewatch.schemas import EPS, HOURLY, RESIDUAL_MULTIPLIER, ROLLING_Z_WINDOW, ZSCORE_THRESHOLD, Panel
 
@@ -61,7 +61,7 @@ def attach_by_chunk(rows: DataFrame, fitted: DataFrame, keys) -> DataFrame:
     """Join per-series state to chunked rows through the (series, chunk) list, which keeps their partitioning."""
     keys = list(keys)
     listed = rows.select(*keys, "_chunk").distinct().join(fitted, keys, "left")
-    return rows.join(listed, [*keys, "_chunk"], "left")
+    return join_by_chunk(rows, listed, keys, how="left")
 
 
 def with_extremes(rows: DataFrame, keys, **extremes: Column) -> DataFrame:
@@ -71,7 +71,7 @@ def with_extremes(rows: DataFrame, keys, **extremes: Column) -> DataFrame:
     whole = Window.partitionBy(*keys)
     largest = lambda n: F.max(n) if n.endswith("top") else F.min(n)
     per_chunk = per_chunk.select(*keys, "_chunk", *[largest(n).over(whole).alias(n) for n in extremes])
-    return rows.join(per_chunk, [*keys, "_chunk"], "left")
+    return join_by_chunk(rows, per_chunk, keys, how="left")
 
 
 def zscore_anomalies(df: DataFrame, fitted: DataFrame, panel: Panel = HOURLY, threshold: float = ZSCORE_THRESHOLD, window: int = ROLLING_Z_WINDOW) -> DataFrame:

@@ -29,6 +29,26 @@ def chunk_of(axis: Column, step: int, chunk_rows: int) -> Column:
     return F.floor(axis / F.lit(step * chunk_rows)).cast("long")
 
 
+def by_chunk(rows: DataFrame, panel: Panel) -> DataFrame:
+    """Shuffle rows by (keys, chunk).
+
+    Said explicitly, because a window over (keys, chunk) is also content with
+    rows already partitioned by the keys alone, and a long series would then
+    stay in one task.
+    """
+    return rows.repartition(*panel.keys, "_chunk")
+
+
+def join_by_chunk(rows: DataFrame, per_chunk: DataFrame, keys, on: str = "_chunk", how: str = "inner") -> DataFrame:
+    """Join one small row per (keys, chunk) to the rows of that chunk.
+
+    Both sides shuffle by (keys, chunk), which the windows after it need
+    anyway; the hint keeps the rows from being sorted for the join, and from
+    being the broadcast side when they are few.
+    """
+    return rows.join(per_chunk.hint("shuffle_hash"), [*keys, on], how)
+
+
 def chunked(df: DataFrame, panel: Panel, back: int, ahead: int = 0) -> DataFrame:
     """Add ``_chunk`` and ``_own``, copying the rows neighbouring chunks need."""
     axis, step = axis_of(df, panel)
@@ -41,9 +61,9 @@ def chunked(df: DataFrame, panel: Panel, back: int, ahead: int = 0) -> DataFrame
     if ahead:
         targets.append(F.when(inside < ahead * step, own - 1))
     if len(targets) == 1:
-        return df.withColumn("_chunk", own).withColumn("_own", F.lit(True))
+        return by_chunk(df.withColumn("_chunk", own).withColumn("_own", F.lit(True)), panel)
     out = df.withColumn("_home", own).withColumn("_chunk", F.explode(F.array_compact(F.array(*targets))))
-    return out.withColumn("_own", F.col("_chunk") == F.col("_home")).drop("_home")
+    return by_chunk(out.withColumn("_own", F.col("_chunk") == F.col("_home")).drop("_home"), panel)
 
 
 def chunk_window(panel: Panel):
@@ -72,7 +92,7 @@ def positions(df: DataFrame, panel: Panel) -> DataFrame:
     )
     rank = F.row_number().over(chunk_window(panel)) - 1
     return (
-        rows.join(counts, [*keys, "_chunk"])
+        join_by_chunk(rows, counts, keys)
         .withColumn("pos", F.col("_before") + rank)
         .drop("_before", "_chunk")
     )

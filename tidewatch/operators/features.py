@@ -70,7 +70,9 @@ def build_features(
     out = rows.where("_own").select(
         *df.columns, *lag_names, *_rolling_columns(panel, windows, stats), *[c.alias(n) for n, c in extra.items()]
     )
-    return out.na.drop("any") if drop_nulls else out
+    # only these can be null: the wider windows hold what the narrowest holds
+    narrowest = [f"{panel.value}_roll_{s}_{min(windows)}h" for s in stats if s != "std"][:1]
+    return out.na.drop("any", subset=[*df.columns, *lag_names, *narrowest]) if drop_nulls else out
 
 
 def feature_names(df: DataFrame, panel: Panel = HOURLY, drop_cols=()) -> list[str]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidewatch.operators.chunks import chunk_of
+from tidewatch.operators.chunks import chunk_of, join_by_chunk
 from tidewatch.schemas import HOURLY, Panel
 
 FILLS = ("linear", "ffill", "bfill", "drop", None)
@@ -70,7 +70,7 @@ def _present(df: DataFrame, panel: Panel, raise_on_duplicate: bool = True) -> Da
         F.expr(f"lead(_first_known) ignore nulls {spec}").alias("_after"),
     )
     on_grid = F.pmod(F.col("_us"), F.lit(step)) == F.pmod(F.col("_start"), F.lit(step))
-    joined = rows.join(per_chunk, [*keys, "_chunk"]).where(on_grid).withColumn("_known", known)
+    joined = join_by_chunk(rows, per_chunk, keys).where(on_grid).withColumn("_known", known)
     inner = f"over (partition by {', '.join(f'`{k}`' for k in keys)}, _chunk order by _us)"
     out = joined.select(
         "*",

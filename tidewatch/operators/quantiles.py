@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tidewatch.operators.chunks import join_by_chunk
 from tidewatch.operators.joins import attach
 
 ACCURACY = 10_000
@@ -90,7 +91,7 @@ def running_counts(df: DataFrame, keys, value: str, counts: list[str], buckets:
         *keys, "_bucket", *[F.coalesce(F.sum(f"_sum_{c}").over(order), F.lit(0)).alias(f"_start_{c}") for c in counts]
     )
     inner = Window.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    out = rows.join(starts, [*keys, "_bucket"])
+    out = join_by_chunk(rows, starts, keys, on="_bucket")
     out = out.select("*", *[(F.col(f"_start_{c}") + F.sum(c).over(inner)).alias(f"cum_{c}") for c in counts])
     out = out.select("*", *[(F.col(f"cum_{c}") - F.col(c)).alias(f"before_{c}") for c in counts])
     return out.drop("_bucket", *[f"_start_{c}" for c in counts])
