@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tidewatch.session import prepare
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -47,9 +49,7 @@ def query(name: str, sql: str | None = None, digits: int = 6):
 
     def register(build):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-                spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return finish(build(spark, sf_dir), digits)
+            return finish(build(prepare(spark), sf_dir), digits)
 
         run.__name__ = name
         run.__doc__ = build.__doc__

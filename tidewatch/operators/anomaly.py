@@ -36,18 +36,20 @@ def rolling_z(
 ) -> DataFrame:
     """Adds ``z``, ``z_score`` in [0, 1] and ``z_flag``.
 
-    The window includes the row itself; where its deviation is undefined the
-    fitted one is used. Scores are scaled by the largest z of the series in
-    this batch (at least the threshold). That maximum is taken per chunk, then
-    over a series' chunks, and joins back by chunk: rows are not shuffled again.
+    The window includes the row itself. Its deviation is undefined only where
+    the row is alone in it, and there the row is its own mean: the fitted
+    deviation that stands in leaves z at 0 whatever it is, so no join is made
+    for it. Scores are scaled by the largest z of the series in this batch (at
+    least the threshold). That maximum is taken per chunk, then over a series'
+    chunks, and joins back by chunk: rows are not shuffled again.
     """
     keys = list(panel.keys)
+    if fitted is None:
+        raise RuntimeError("Rolling z-score not fitted. Call fit_rolling_z() first.")
     rows = rolling(chunked(df, panel, window - 1), chunk_window(panel), panel.value, [window], ["mean", "std"])
     rows = rows.where("_own").drop("_own")
-    rows = attach_by_chunk(rows, fitted.select(*keys, "fit_std"), keys)
-    spread = F.coalesce(F.col(f"_std_{window}"), F.col("fit_std"))
-    z = F.abs((F.col(panel.value) - F.col(f"_mean_{window}")) / (spread + EPS))
-    rows = rows.withColumn("z", z).drop(f"_mean_{window}", f"_std_{window}", "fit_std")
+    z = F.abs((F.col(panel.value) - F.col(f"_mean_{window}")) / (F.coalesce(F.col(f"_std_{window}"), F.lit(1.0)) + EPS))
+    rows = rows.withColumn("z", z).drop(f"_mean_{window}", f"_std_{window}")
     rows = with_extremes(rows, keys, z_top=F.max("z"))
     top = F.greatest(F.col("z_top"), F.lit(threshold + EPS))
     return (
@@ -57,13 +59,6 @@ def rolling_z(
     )
 
 
-def attach_by_chunk(rows: DataFrame, fitted: DataFrame, keys) -> DataFrame:
-    """Join per-series state to chunked rows through the (series, chunk) list, which keeps their partitioning."""
-    keys = list(keys)
-    listed = rows.select(*keys, "_chunk").distinct().join(fitted, keys, "left")
-    return join_by_chunk(rows, listed, keys, how="left")
-
-
 def with_extremes(rows: DataFrame, keys, **extremes: Column) -> DataFrame:
     """Add the max / min over a whole series to rows that carry ``_chunk``."""
     keys = list(keys)

@@ -103,33 +103,31 @@ def positions(df: DataFrame, panel: Panel) -> DataFrame:
 _PARTS = {"mean": {"n", "s"}, "std": {"n", "s", "q"}, "min": {"lo"}, "max": {"hi"}, "count": {"n"}, "sum": {"n", "s"}}
 
 
-def _level_one(value: Column, offset: int, window, parts) -> dict[str, Column]:
-    x = F.lag(value, offset).over(window) if offset else value
-    present = x.isNotNull()
+def _single(x: Column, parts) -> dict[str, Column]:
+    """Count, sum, squared deviation, least and greatest of a one-row frame."""
     made = {
-        "n": F.when(present, F.lit(1)).otherwise(F.lit(0)),
-        "s": F.coalesce(x, F.lit(0.0)),
-        "q": F.lit(0.0),
-        "lo": x,
-        "hi": x,
+        "n": F.when(x.isNotNull(), F.lit(1)).otherwise(F.lit(0)), "s": F.coalesce(x, F.lit(0.0)),
+        "q": F.lit(0.0), "lo": x, "hi": x,
     }
     return {p: made[p] for p in parts}
 
 
-def _merge(a: dict, b: dict, parts) -> dict[str, Column]:
+def _merge(pieces: list[dict[str, Column]], parts) -> dict[str, Column]:
+    """The same of several frames together; deviations are taken from the joint mean."""
+    total = lambda p: sum((c[p] for c in pieces[1:]), pieces[0][p])
     out = {}
     if "n" in parts:
-        out["n"] = a["n"] + b["n"]
+        out["n"] = total("n")
     if "s" in parts:
-        out["s"] = a["s"] + b["s"]
+        out["s"] = total("s")
     if "q" in parts:
-        gap = b["n"] * a["s"] - a["n"] * b["s"]
-        joined = a["q"] + b["q"] + gap * gap / (a["n"] * b["n"] * (a["n"] + b["n"]))
-        out["q"] = F.when((a["n"] > 0) & (b["n"] > 0), joined).otherwise(a["q"] + b["q"])
+        mean = out["s"] / F.greatest(out["n"], F.lit(1))
+        shift = [F.when(c["n"] > 0, (c["s"] - c["n"] * mean) * (c["s"] - c["n"] * mean) / c["n"]).otherwise(0.0) for c in pieces]
+        out["q"] = sum(shift, total("q"))
     if "lo" in parts:
-        out["lo"] = F.least(a["lo"], b["lo"])
+        out["lo"] = F.least(*[c["lo"] for c in pieces])
     if "hi" in parts:
-        out["hi"] = F.greatest(a["hi"], b["hi"])
+        out["hi"] = F.greatest(*[c["hi"] for c in pieces])
     return out
 
 
@@ -151,59 +149,38 @@ def rolling(df: DataFrame, window, value: str, widths, stats, shift: int = 0) ->
 
     A frame of width w is merged from two to four already built narrower
     frames read with ``lag``, so a row costs a handful of merges instead of
-    one update per row in the frame. Counts, sums and squared deviations are
-    merged (not subtracted), so no precision is lost to cancellation.
+    one update per row in the frame. Frames are added up and never subtracted,
+    so no precision is lost to cancellation.
     Nulls are skipped; an empty frame gives null, ``std`` of one value is null.
     """
     parts = sorted(set().union(*(_PARTS[s] for s in stats)))
+    kept = list(df.columns)
     x = F.col(value)
-    built = {1: []}
     if shift:
-        df = df.withColumn("_base", F.lag(x, shift).over(window))
-        x = F.col("_base")
-    names = [f"_1_{p}" for p in parts]
-    df = df.select("*", *[c.alias(n) for (_, c), n in zip(sorted(_level_one(x, 0, window, parts).items()), names)])
-
-    def read(width, offset):
-        if offset == 0:
-            return {p: F.col(f"_{width}_{p}") for p in parts}
-        zero = {"n": F.lit(0), "s": F.lit(0.0), "q": F.lit(0.0)}
-        cols = {}
-        for p in parts:
-            lagged = F.lag(F.col(f"_{width}_{p}"), offset).over(window)
-            cols[p] = F.coalesce(lagged, zero[p]) if p in zero else lagged
-        return cols
-
+        df, x = df.select("*", F.lag(x, shift).over(window).alias("_base")), F.col("_base")
+    of = lambda width, at=0: {p: F.col(f"_{width}_{p}" + (f"_{at}" if at else "")) for p in parts}
+    df = df.select("*", *[c.alias(f"_1_{p}") for p, c in _single(x, parts).items()])
+    built, read, nothing = [1], set(), {"n": F.lit(0), "s": F.lit(0.0), "q": F.lit(0.0)}
     for width in _steps(widths):
-        left, offset, pieces = width, 0, []
-        while left:
-            part = max(b for b in built if b <= left)
+        pieces, offset = [], 0
+        while offset < width:
+            part = max(b for b in built if b <= width - offset)
             pieces.append((part, offset))
-            left, offset = left - part, offset + part
-        # lagged parts become columns first, so that each merge reads plain columns
-        lagged, columns = [], []
-        for i, (part, off) in enumerate(pieces):
-            if off:
-                cols = read(part, off)
-                columns += [cols[p].alias(f"_t{i}_{p}") for p in parts]
-                lagged.append({p: F.col(f"_t{i}_{p}") for p in parts})
-            else:
-                lagged.append(read(part, 0))
-        df = df.select("*", *columns)
-        acc, temporary = lagged[0], [c for i in range(len(pieces)) for c in (f"_t{i}_{p}" for p in parts)]
-        for i, nxt in enumerate(lagged[1:]):
-            last = i == len(lagged) - 2
-            prefix = f"_{width}_" if last else f"_m{i}_"
-            df = df.select("*", *[c.alias(prefix + p) for p, c in _merge(acc, nxt, parts).items()])
-            acc = {p: F.col(prefix + p) for p in parts}
-            if not last:
-                temporary += [prefix + p for p in parts]
-        df = df.drop(*temporary)
-        built[width] = pieces
+            offset += part
+        lagged = []
+        for part, at in pieces:
+            for p in parts if at and (part, at) not in read else ():
+                c = F.lag(f"_{part}_{p}", at).over(window)
+                lagged.append((F.coalesce(c, nothing[p]) if p in nothing else c).alias(f"_{part}_{p}_{at}"))
+        read.update(pieces)
+        df = df.select("*", *lagged)
+        merged = _merge([of(part, at) for part, at in pieces], parts)
+        df = df.select("*", *[c.alias(f"_{width}_{p}") for p, c in merged.items()])
+        built.append(width)
 
     made = []
     for width in sorted(set(widths)):
-        c = {p: F.col(f"_{width}_{p}") for p in parts}
+        c = of(width)
         for stat in stats:
             made.append({
                 "mean": lambda: F.when(c["n"] > 0, c["s"] / c["n"]),
@@ -213,5 +190,4 @@ def rolling(df: DataFrame, window, value: str, widths, stats, shift: int = 0) ->
                 "max": lambda: c["hi"],
                 "count": lambda: c["n"],
             }[stat]().alias(f"_{stat}_{width}"))
-    scratch = [f"_{w}_{p}" for w in built for p in parts] + ["_base"]
-    return df.select("*", *made).drop(*scratch)
+    return df.select(*kept, *made)

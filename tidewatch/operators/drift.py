@@ -9,6 +9,7 @@ from tidewatch.functions.scalar import psi_level
 from tidewatch.operators.joins import attach
 from tidewatch.operators.quantiles import running_counts
 from tidewatch.schemas import DRIFT_THRESHOLD, EPS, KS_ALPHA
+from tidewatch.session import materialise
 
 MIN_ROWS = 10
 
@@ -103,8 +104,8 @@ def ks(counts: DataFrame) -> DataFrame:
 def drift_report(train: DataFrame, prod: DataFrame, features=None, threshold: float | None = None) -> DataFrame:
     """One row per feature: moments, KS, PSI, ``is_drifted`` (p < 0.05 or PSI above the threshold), level by PSI."""
     limit = DRIFT_THRESHOLD if threshold is None else threshold
-    counts = value_counts(train, prod, features)
-    return report_from_counts(counts, limit)
+    # seven passes read the distinct values, so they are written once
+    return report_from_counts(materialise(value_counts(train, prod, features), "values"), limit)
 
 
 def report_from_counts(counts: DataFrame, threshold: float = DRIFT_THRESHOLD) -> DataFrame:

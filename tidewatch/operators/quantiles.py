@@ -77,13 +77,16 @@ def running_counts(df: DataFrame, keys, value: str, counts: list[str], buckets:
     ``df`` has one row per (keys, value). Approximate quantiles cut a key's
     values into ``buckets`` balanced pieces; totals run inside a piece and
     start from the sum of the pieces before it. Adds ``before_{c}`` and
-    ``cum_{c}``.
+    ``cum_{c}``. ``buckets`` is a power of two.
     """
     keys = list(keys)
     edges = df.groupBy(*keys).agg(
         F.percentile_approx(value, [i / buckets for i in range(1, buckets)], 10 * buckets).alias("_edges")
     )
-    below = F.size(F.filter("_edges", lambda e: e < F.col(value)))
+    # binary search of the sorted edges: log2(buckets) steps per value
+    halves = F.array(*[F.lit(buckets >> i) for i in range(1, buckets.bit_length())])
+    edge = lambda i: F.get("_edges", i - 1)
+    below = F.aggregate(halves, F.lit(0), lambda at, half: F.when(edge(at + half) < F.col(value), at + half).otherwise(at))
     rows = attach(df, edges, keys, value).withColumn("_bucket", below).drop("_edges")
     order = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = rows.groupBy(*keys, "_bucket").agg(*[F.sum(c).alias(f"_sum_{c}") for c in counts])
