@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import exact, language, quality, toxicity
+from tidewatch.llm import exact, jaccard, language, quality, toxicity
 
 QUERIES = {
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_exact_dedup": exact.op4_exact_dedup,
     "op5_quality": quality.op5_quality,
     "op6_language_id": language.op6_language_id,
+    "op10_ngram_jaccard": jaccard.op10_ngram_jaccard,
 }
-ORACLES = {"op4_exact_dedup": exact.ORACLE}
+ORACLES = {"op4_exact_dedup": exact.ORACLE, "op10_ngram_jaccard": jaccard.ORACLE}
