@@ -99,23 +99,22 @@ def describe(docs: DataFrame, width: int = WIDTH, salt: int = 0) -> tuple[DataFr
 
 
 def token_lists(docs: DataFrame, levels, width: int, percent: int, salt: int) -> DataFrame:
-    """``token``, ``sid``, ``n``: the first order's prefixes, tokens of one set only left out."""
+    """``token``, ``sid``: the first order's prefixes, without tokens that occur once. The prefixes are made twice, not stored."""
     def run(batches):
         table_, seen = levels.value, set()
         for b in blocks(batches):
-            tokens, owners, sizes = [], [], []
+            tokens, owners = [], []
             for s, sid in with_ids(b, width, salt):
                 if len(s) and sid not in seen:
                     seen.add(sid)
                     p = prefix(s, table_, 0, percent)
                     tokens.append(p)
                     owners.append(np.full(len(p), sid, np.int64))
-                    sizes.append(np.full(len(p), len(s), np.int32))
             if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(owners)), pa.array(np.concatenate(sizes))], ["token", "sid", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(owners))], ["token", "sid"])
 
-    rows = materialise(docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "token long, sid long, n int"), "prefixes")
-    shared = rows.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo < hi").select("token")
+    rows = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "token long, sid long")
+    shared = materialise(rows.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token"), "shared-tokens")
     return materialise(rows.join(shared, "token"), "token-lists")
 
 
@@ -141,50 +140,66 @@ def bitmap(ids: DataFrame, bits: int = FILTER) -> np.ndarray:
     return out
 
 
-def shingle_sets(docs: DataFrame, ids: DataFrame, width: int, salt: int) -> DataFrame:
-    """``sid``, ``tokens`` (sorted, 8 bytes each): the sets of the given ids, found by another pass over the texts."""
+def tokens_of(docs: DataFrame, pairs: DataFrame, levels, width: int, salt: int, which: int | None, percent: int) -> DataFrame:
+    """``sid``, ``at``, ``tokens`` (8 bytes each) of the sets in ``pairs``, by another pass over the texts.
+
+    ``which`` names an order whose prefix is wanted, none the whole set. ``at`` tells equal sets of several documents apart.
+    """
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
     kept = docs.sparkSession.sparkContext.broadcast(bitmap(ids))
 
     def run(batches):
-        bits, seen = kept.value, set()
+        bits, table_ = kept.value, levels.value
         for b in blocks(batches):
-            got = []
-            for s, sid in with_ids(b, width, salt):
+            hit, sids, sets = [], [], []
+            for i, (s, sid) in enumerate(with_ids(b, width, salt)):
                 at = (sid % 2**64) >> (64 - FILTER)
-                if sid not in seen and bits[at >> 3] >> (at & 7) & 1:
-                    seen.add(sid)
-                    got.append((sid, s.tobytes()))
-            if got:
-                yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.binary())], ["sid", "tokens"])
+                if len(s) and bits[at >> 3] >> (at & 7) & 1:
+                    hit.append(i)
+                    sids.append(sid)
+                    sets.append((s if which is None else np.sort(prefix(s, table_, which, percent))).tobytes())
+            if hit:
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(hit)), pa.array(sids, pa.int64()), pa.array(sets, pa.binary())], ["doc_id", "sid", "tokens"])
 
-    sets = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "sid long, tokens binary")
-    return materialise(sets.join(ids, "sid", "left_semi"), "candidate-sets")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    sets = docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, sid long, tokens binary")
+    return materialise(sets.select("sid", F.xxhash64("doc_id").alias("at"), "tokens"), "tokens")
 
 
-def linked(pairs: DataFrame, sets: DataFrame, levels, percent: int) -> DataFrame:
-    """The pairs ``a``, ``b`` that share prefix tokens under the other orders too and are similar enough."""
+def compared(pairs: DataFrame, sets: DataFrame, test) -> DataFrame:
+    """The pairs whose two token arrays pass ``test``."""
     def run(batches):
-        table_ = levels.value
         for batch in batches:
-            a, b = batch.column("a"), batch.column("b")
-            good = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                ok = percent * max(len(x), len(y)) <= 100 * min(len(x), len(y))
-                for which in (1, 2):
-                    ok = ok and len(np.intersect1d(prefix(x, table_, which, percent), prefix(y, table_, which, percent), assume_unique=True)) > 0
-                if ok:
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    ok = 100 * both >= percent * (len(x) + len(y) - both)
-                good.append(ok)
-            good = pa.array(good, pa.bool_())
-            yield pa.RecordBatch.from_arrays([a.filter(good), b.filter(good)], ["a", "b"])
-
-    # a set may come from several tasks; each is the same, one is taken
-    one = sets.groupBy("sid").agg(F.first("tokens").alias("tokens"))
-    one = materialise(one, "one-set")
-    found = pairs.join(one.select(F.col("sid").alias("a"), F.col("tokens").alias("x")), "a").join(one.select(F.col("sid").alias("b"), F.col("tokens").alias("y")), "b")
-    return materialise(found.select("a", "b", "x", "y").mapInArrow(run, "a long, b long"), "links")
+            good = pa.array([
+                test(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64))
+                for x, y in zip(batch.column("x"), batch.column("y"), strict=True)
+            ], pa.bool_())
+            yield batch.select(names).filter(good)
+
+    names = ["a", "a_at", "b", "b_at"]
+    for side, to in (("a", "x"), ("b", "y")):
+        pairs = pairs.join(sets.select(F.col("sid").alias(side), F.col("at").alias(f"{side}_at"), F.col("tokens").alias(to)), [side, f"{side}_at"])
+    return pairs.select(*names, "x", "y").mapInArrow(run, "a long, a_at long, b long, b_at long")
+
+
+def linked(docs: DataFrame, base: DataFrame, pairs: DataFrame, levels, width: int, percent: int, salt: int) -> DataFrame:
+    """Of the candidate pairs those that share prefix tokens under the other orders too, and of these the similar ones."""
+    one = base.groupBy("sid").agg(F.min(F.xxhash64("doc_id")).alias("at"))
+    for side in ("a", "b"):
+        pairs = pairs.join(one.select(F.col("sid").alias(side), F.col("at").alias(f"{side}_at")), side)
+    pairs = materialise(pairs, "pairs")
+
+    def meets(x, y):
+        return len(np.intersect1d(x, y, assume_unique=True)) > 0
+
+    def similar(x, y):
+        if not meets(prefix(x, levels.value, 2, percent), prefix(y, levels.value, 2, percent)):
+            return False
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        return 100 * both >= percent * (len(x) + len(y) - both)
+
+    pairs = materialise(compared(pairs, tokens_of(docs, pairs, levels, width, salt, 1, percent), meets), "two-orders")
+    return materialise(compared(pairs, tokens_of(docs, pairs, levels, width, salt, None, percent), similar).select("a", "b").distinct(), "links")
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -200,13 +215,20 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     lists = token_lists(docs, shipped, width, percent, salt)
 
     near = F.col("n1") * 100 >= F.col("n2") * percent
-    bounds = lists.groupBy("token").agg(F.min(F.struct("sid", "n")).alias("lo"), F.max(F.struct("sid", "n")).alias("hi"))
+    size = base.groupBy("sid").agg(F.max("n").alias("n"))
+
+    def of_near_size(pairs: DataFrame) -> DataFrame:
+        for side in ("a", "b"):
+            pairs = pairs.join(size.select(F.col("sid").alias(side), F.col("n").alias(f"n_{side}")), side)
+        pairs = pairs.withColumns({"n1": F.least("n_a", "n_b"), "n2": F.greatest("n_a", "n_b")})
+        return pairs.where(near).select("a", "b")
+
+    bounds = lists.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo < hi")
     star = lists.join(bounds, "token")
-    star = star.select("sid", "n", F.explode(F.array("lo", "hi")).alias("to")).where("sid != to.sid")
-    star = star.select(F.least("sid", "to.sid").alias("a"), F.greatest("sid", "to.sid").alias("b"), F.least("n", "to.n").alias("n1"), F.greatest("n", "to.n").alias("n2"))
-    star = materialise(star.where(near).select("a", "b").distinct(), "star-pairs")
-    sets = shingle_sets(docs, star.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), width, salt)
-    links = linked(star, sets, shipped, percent)
+    star = star.select("sid", F.explode(F.array("lo", "hi")).alias("to")).where("sid != to")
+    star = star.select(F.least("sid", "to").alias("a"), F.greatest("sid", "to").alias("b")).distinct()
+    star = materialise(of_near_size(star), "star-pairs")
+    links = linked(docs, base, star, shipped, width, percent, salt)
     groups = components(links)
 
     # pairs of a list that are not yet in one component
@@ -214,13 +236,12 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     mixed = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m")).where("lo < hi and m > 2").select("token")
     rest = materialise(placed.join(mixed, "token"), "mixed-lists")
     if not rest.isEmpty():
-        other = rest.select("token", F.col("sid").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-        pairs = rest.select("token", F.col("sid").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca")).join(other, "token").where("a < b and ca != cb")
-        pairs = pairs.withColumns({"n1": F.least("na", "nb"), "n2": F.greatest("na", "nb")}).where(near).select("a", "b").distinct()
+        other = rest.select("token", F.col("sid").alias("b"), F.col("component").alias("cb"))
+        pairs = rest.select("token", F.col("sid").alias("a"), F.col("component").alias("ca")).join(other, "token").where("a < b and ca != cb")
+        pairs = of_near_size(pairs.select("a", "b").distinct())
         pairs = materialise(pairs.join(star, ["a", "b"], "left_anti"), "other-pairs")
         if not pairs.isEmpty():
-            sets = shingle_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), width, salt)
-            more = linked(pairs, sets, shipped, percent)
+            more = linked(docs, base, pairs, shipped, width, percent, salt)
             if not more.isEmpty():
                 groups = components(links.union(more))
 
