@@ -5,9 +5,9 @@ documents. The first order puts rare tokens first (by a fixed-size count sketch
 many documents share stand last) and makes the candidates: documents in one token's list. The second (same counts, other
 ties) and third (a hash) must agree before a pair's sets are compared. Any sketch gives a valid order, so results are exact.
 
-Equal sets are one node. A list of m nodes is not expanded into pairs: all are compared with the list's first and last
-node, and pairs are made only between nodes of a list that lie in different components after that. Pairs inside a component cannot change
-it. Tokens and nodes are spread by grouped minima and joins, which Spark splits when a key is hot.
+Equal sets are one node. A list of m nodes is not expanded into pairs: all are compared with its leader, the node whose
+prefix is shared most, which then leaves the list. Lists whose nodes are in one component by then are done; after three
+such rounds pairs are made between nodes of a list that lie in different components. Pairs inside a component cannot change it. Tokens and nodes are spread by grouped minima and joins, which Spark splits when a key is hot.
 
 Sizes: the sketch is ``2 ** BITS`` counters and the filter of candidate documents ``2 ** FILTER`` bits, whatever the input; only they
 are collected and shipped. Both only order and prune: wrong guesses cost time, not links.
@@ -28,7 +28,7 @@ from tidewatch.llm.text import blocks, mix, raw, shingles
 from tidewatch.session import materialise
 
 WIDTH, PERCENT = 5, 75
-BITS, PART, FILTER = 20, 14, 26
+BITS, PART, FILTER, STARS = 20, 14, 26, 3
 _TIES = (np.uint64(0x51ED270B9F3C6D2F), np.uint64(0xC3A5C85C97CB3127), np.uint64(0x9AE16A3B2F90404F))
 
 
@@ -46,13 +46,35 @@ def order_key(tokens: np.ndarray, levels: np.ndarray, which: int) -> np.ndarray:
 
 
 def prefix(tokens: np.ndarray, levels: np.ndarray, which: int, percent: int) -> np.ndarray:
+    """The tokens that count, in the order's sequence."""
     n = len(tokens)
     k = n - needed(n, percent) + 1
-    return tokens if k >= n else tokens[np.argpartition(order_key(tokens, levels, which), k - 1)[:k]]
+    key = order_key(tokens, levels, which)
+    if k < n:
+        part = np.argpartition(key, k - 1)[:k]
+        tokens, key = tokens[part], key[part]
+    return tokens[np.argsort(key)]
+
+
+def parity(tokens: np.ndarray) -> bytes:
+    """For each slot, whether an odd number of tokens falls there; two to four slots a token, folded by xor to any smaller power of two."""
+    slots = 1 << max(6, int(2 * len(tokens) - 1).bit_length()) if len(tokens) else 64
+    odd = np.bincount(((tokens >> np.uint64(7)) & np.uint64(slots - 1)).astype(np.int64), minlength=slots) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def differ_at_least(x: bytes, y: bytes) -> int:
+    """A lower bound on the tokens that one of two sets has and the other has not."""
+    x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    while len(x) != len(y):
+        if len(x) < len(y):
+            x, y = y, x
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 def describe(docs: DataFrame, width: int = WIDTH, salt: int = 0) -> tuple[DataFrame, np.ndarray]:
-    """``doc_id``, ``n``, ``sid`` (a hash of the set), ``check`` (a second one) per row, and each counter's level."""
+    """``doc_id``, ``n``, ``sid`` (a hash of the set), ``check`` (a second one), ``marks`` per row, and each counter's level."""
     def run(batches):
         counts = np.zeros(1 << BITS, np.int32)
         for b in blocks(batches):
@@ -61,23 +83,24 @@ def describe(docs: DataFrame, width: int = WIDTH, salt: int = 0) -> tuple[DataFr
             flat = np.concatenate(sets)
             at = np.concatenate(([0], np.cumsum(n)))
             counts += np.bincount((flat >> np.uint64(64 - BITS)).astype(np.int64), minlength=1 << BITS).astype(np.int32)
+            marks = [parity(x) for x in sets]
             ids = []
             for seed in (salt + 1, salt + 1_000_003):
                 run_ = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(flat ^ mix(np.array([seed], np.uint64))), dtype=np.uint64)))
                 ids.append(mix(run_[at[1:]] - run_[at[:-1]] + n.astype(np.uint64)).view(np.int64))
             none = pa.nulls(len(n))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(ids[0]), pa.array(ids[1]), none.cast(pa.int32()), none.cast(pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(ids[0]), pa.array(ids[1]), pa.array(marks, pa.binary()), none.cast(pa.int32()), none.cast(pa.binary())], names)
         if counts.any():
             parts = counts.reshape(-1, 1 << PART)
             none = pa.nulls(len(parts))
-            yield pa.RecordBatch.from_arrays([none.cast(kind), none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.int64()), pa.array(np.arange(len(parts), dtype=np.int32)), pa.array([p.tobytes() for p in parts], pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([none.cast(kind), none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.binary()), pa.array(np.arange(len(parts), dtype=np.int32)), pa.array([p.tobytes() for p in parts], pa.binary())], names)
 
     from pyspark.sql.pandas.types import to_arrow_type
 
-    names = ["doc_id", "n", "sid", "check", "part", "counts"]
+    names = ["doc_id", "n", "sid", "check", "marks", "part", "counts"]
     sql = docs.schema["doc_id"].dataType
     kind = to_arrow_type(sql)
-    both = docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {sql.simpleString()}, n long, sid long, check long, part int, counts binary")
+    both = docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {sql.simpleString()}, n long, sid long, check long, marks binary, part int, counts binary")
     both = materialise(both, "shingle-sets")
 
     def summed(batches):
@@ -95,25 +118,30 @@ def describe(docs: DataFrame, width: int = WIDTH, salt: int = 0) -> tuple[DataFr
     levels = np.zeros((parts, 1 << PART), np.uint8)
     for r in got:
         levels[r.part] = np.frombuffer(r.level, np.uint8)
-    return both.where("part is null").select("doc_id", "n", "sid", "check"), levels.reshape(-1)
+    return both.where("part is null").select("doc_id", "n", "sid", "check", "marks"), levels.reshape(-1)
 
 
 def token_lists(docs: DataFrame, levels, width: int, percent: int, salt: int) -> DataFrame:
-    """``token``, ``sid``: the first order's prefixes, without tokens that occur once. The prefixes are made twice, not stored."""
+    """``token``, ``sid``, ``n``, ``pos`` (place in the order): the first order's prefixes, without tokens that occur once.
+
+    The prefixes are made twice, not stored.
+    """
     def run(batches):
         table_, seen = levels.value, set()
         for b in blocks(batches):
-            tokens, owners = [], []
+            tokens, owners, sizes, places = [], [], [], []
             for s, sid in with_ids(b, width, salt):
                 if len(s) and sid not in seen:
                     seen.add(sid)
                     p = prefix(s, table_, 0, percent)
                     tokens.append(p)
                     owners.append(np.full(len(p), sid, np.int64))
+                    sizes.append(np.full(len(p), len(s), np.int32))
+                    places.append(np.arange(len(p), dtype=np.int32))
             if tokens:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(owners))], ["token", "sid"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), *(pa.array(np.concatenate(x)) for x in (owners, sizes, places))], ["token", "sid", "n", "pos"])
 
-    rows = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "token long, sid long")
+    rows = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "token long, sid long, n int, pos int")
     shared = materialise(rows.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token"), "shared-tokens")
     return materialise(rows.join(shared, "token"), "token-lists")
 
@@ -140,16 +168,16 @@ def bitmap(ids: DataFrame, bits: int = FILTER) -> np.ndarray:
     return out
 
 
-def tokens_of(docs: DataFrame, pairs: DataFrame, levels, width: int, salt: int, which: int | None, percent: int) -> DataFrame:
+def tokens_of(docs: DataFrame, pairs: DataFrame, width: int, salt: int) -> DataFrame:
     """``sid``, ``at``, ``tokens`` (8 bytes each) of the sets in ``pairs``, by another pass over the texts.
 
-    ``which`` names an order whose prefix is wanted, none the whole set. ``at`` tells equal sets of several documents apart.
+    ``at`` tells equal sets of several documents apart.
     """
     ids = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
     kept = docs.sparkSession.sparkContext.broadcast(bitmap(ids))
 
     def run(batches):
-        bits, table_ = kept.value, levels.value
+        bits = kept.value
         for b in blocks(batches):
             hit, sids, sets = [], [], []
             for i, (s, sid) in enumerate(with_ids(b, width, salt)):
@@ -157,7 +185,7 @@ def tokens_of(docs: DataFrame, pairs: DataFrame, levels, width: int, salt: int,
                 if len(s) and bits[at >> 3] >> (at & 7) & 1:
                     hit.append(i)
                     sids.append(sid)
-                    sets.append((s if which is None else np.sort(prefix(s, table_, which, percent))).tobytes())
+                    sets.append(s.tobytes())
             if hit:
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(hit)), pa.array(sids, pa.int64()), pa.array(sets, pa.binary())], ["doc_id", "sid", "tokens"])
 
@@ -166,40 +194,55 @@ def tokens_of(docs: DataFrame, pairs: DataFrame, levels, width: int, salt: int,
     return materialise(sets.select("sid", F.xxhash64("doc_id").alias("at"), "tokens"), "tokens")
 
 
-def compared(pairs: DataFrame, sets: DataFrame, test) -> DataFrame:
-    """The pairs whose two token arrays pass ``test``."""
+def compared(pairs: DataFrame, with_: DataFrame, test) -> DataFrame:
+    """The rows of ``pairs`` whose two values, by ``sid`` and ``at``, pass ``test``."""
     def run(batches):
         for batch in batches:
-            good = pa.array([
-                test(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64))
-                for x, y in zip(batch.column("x"), batch.column("y"), strict=True)
-            ], pa.bool_())
-            yield batch.select(names).filter(good)
+            good = [test(x, y) for x, y in zip(batch.column("x"), batch.column("y"), strict=True)]
+            yield batch.select(names).filter(pa.array(good, pa.bool_()))
 
     names = ["a", "a_at", "b", "b_at"]
     for side, to in (("a", "x"), ("b", "y")):
-        pairs = pairs.join(sets.select(F.col("sid").alias(side), F.col("at").alias(f"{side}_at"), F.col("tokens").alias(to)), [side, f"{side}_at"])
+        pairs = pairs.join(with_.select(F.col("sid").alias(side), F.col("at").alias(f"{side}_at"), F.col(with_.columns[-1]).alias(to)), [side, f"{side}_at"])
     return pairs.select(*names, "x", "y").mapInArrow(run, "a long, a_at long, b long, b_at long")
 
 
 def linked(docs: DataFrame, base: DataFrame, pairs: DataFrame, levels, width: int, percent: int, salt: int) -> DataFrame:
-    """Of the candidate pairs those that share prefix tokens under the other orders too, and of these the similar ones."""
-    one = base.groupBy("sid").agg(F.min(F.xxhash64("doc_id")).alias("at"))
+    """The similar pairs ``a``, ``b`` among candidates.
+
+    A pair is left out when its parity marks show that the sets differ in too many tokens, then when it shares no prefix
+    token under the second or third order; the sets of those that stay are compared.
+    """
+    one = base.groupBy("sid").agg(F.min(F.xxhash64("doc_id")).alias("at"), F.max("n").alias("n"))
     for side in ("a", "b"):
-        pairs = pairs.join(one.select(F.col("sid").alias(side), F.col("at").alias(f"{side}_at")), side)
-    pairs = materialise(pairs, "pairs")
+        pairs = pairs.join(one.select(F.col("sid").alias(side), F.col("at").alias(f"{side}_at"), F.col("n").alias(f"n_{side}")), side)
+    near = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
+    # both sets together have n_a + n_b = 2 * shared + different, and similar ones share percent / (100 + percent) of it at least
+    pairs = pairs.where(near).withColumn("most", F.floor((F.col("n_a") + F.col("n_b")) * (100 - percent) / (100 + percent)))
+
+    def close(batches):
+        for batch in batches:
+            most = batch.column("most").to_pylist()
+            good = [differ_at_least(x.as_py(), y.as_py()) <= m for x, y, m in zip(batch.column("x"), batch.column("y"), most, strict=True)]
+            yield batch.select(["a", "a_at", "b", "b_at"]).filter(pa.array(good, pa.bool_()))
 
-    def meets(x, y):
-        return len(np.intersect1d(x, y, assume_unique=True)) > 0
+    marks = base.select("sid", F.xxhash64("doc_id").alias("at"), "marks").dropDuplicates(["sid", "at"])
+    for side, to in (("a", "x"), ("b", "y")):
+        pairs = pairs.join(marks.select(F.col("sid").alias(side), F.col("at").alias(f"{side}_at"), F.col("marks").alias(to)), [side, f"{side}_at"])
+    pairs = pairs.select("a", "a_at", "b", "b_at", "most", "x", "y").mapInArrow(close, "a long, a_at long, b long, b_at long")
+    pairs = materialise(pairs, "close-pairs")
+    if pairs.isEmpty():
+        return pairs.select("a", "b")
 
     def similar(x, y):
-        if not meets(prefix(x, levels.value, 2, percent), prefix(y, levels.value, 2, percent)):
-            return False
+        x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+        for which in (1, 2):
+            if not len(np.intersect1d(prefix(x, levels.value, which, percent), prefix(y, levels.value, which, percent), assume_unique=True)):
+                return False
         both = len(np.intersect1d(x, y, assume_unique=True))
         return 100 * both >= percent * (len(x) + len(y) - both)
 
-    pairs = materialise(compared(pairs, tokens_of(docs, pairs, levels, width, salt, 1, percent), meets), "two-orders")
-    return materialise(compared(pairs, tokens_of(docs, pairs, levels, width, salt, None, percent), similar).select("a", "b").distinct(), "links")
+    return materialise(compared(pairs, tokens_of(docs, pairs, width, salt), similar).select("a", "b").distinct(), "links")
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -214,37 +257,43 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     shipped = spark.sparkContext.broadcast(levels)
     lists = token_lists(docs, shipped, width, percent, salt)
 
-    near = F.col("n1") * 100 >= F.col("n2") * percent
-    size = base.groupBy("sid").agg(F.max("n").alias("n"))
-
-    def of_near_size(pairs: DataFrame) -> DataFrame:
-        for side in ("a", "b"):
-            pairs = pairs.join(size.select(F.col("sid").alias(side), F.col("n").alias(f"n_{side}")), side)
-        pairs = pairs.withColumns({"n1": F.least("n_a", "n_b"), "n2": F.greatest("n_a", "n_b")})
-        return pairs.where(near).select("a", "b")
-
-    bounds = lists.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo < hi")
-    star = lists.join(bounds, "token")
-    star = star.select("sid", F.explode(F.array("lo", "hi")).alias("to")).where("sid != to")
-    star = star.select(F.least("sid", "to").alias("a"), F.greatest("sid", "to").alias("b")).distinct()
-    star = materialise(of_near_size(star), "star-pairs")
-    links = linked(docs, base, star, shipped, width, percent, salt)
-    groups = components(links)
-
-    # pairs of a list that are not yet in one component
-    placed = lists.join(groups.select(F.col("node").alias("sid"), "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
-    mixed = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("m")).where("lo < hi and m > 2").select("token")
-    rest = materialise(placed.join(mixed, "token"), "mixed-lists")
-    if not rest.isEmpty():
-        other = rest.select("token", F.col("sid").alias("b"), F.col("component").alias("cb"))
-        pairs = rest.select("token", F.col("sid").alias("a"), F.col("component").alias("ca")).join(other, "token").where("a < b and ca != cb")
-        pairs = of_near_size(pairs.select("a", "b").distinct())
-        pairs = materialise(pairs.join(star, ["a", "b"], "left_anti"), "other-pairs")
-        if not pairs.isEmpty():
-            more = linked(docs, base, pairs, shipped, width, percent, salt)
-            if not more.isEmpty():
-                groups = components(links.union(more))
-
+    # a set most of whose prefix other sets share too is likely the one that others were made from
+    score = lists.groupBy("sid").agg((F.count("*") / F.first("n")).alias("score"))
+    # counted at its first shared token, a pair of sets with the overlap it needs has that many tokens left in both
+    room = f"least(nu - pu, nv - pv) * {100 + percent} >= {percent} * (nu + nv)"
+    rest = materialise(lists.distinct().join(score, "sid"), "scored-lists")
+    links, groups, tried = None, None, None
+    for last in (False,) * STARS + (True,):
+        mixed = rest.groupBy("token").agg(
+            F.min(F.coalesce("component", "sid") if groups is not None else F.col("sid")).alias("lo"),
+            F.max(F.coalesce("component", "sid") if groups is not None else F.col("sid")).alias("hi"),
+            F.max(F.struct("score", "sid", "n", "pos")).alias("lead"),
+        ).where("lo < hi").select("token", "lead")
+        rest = materialise(rest.join(mixed, "token"), "mixed-lists")
+        if rest.isEmpty():
+            break
+        if last:
+            left = rest.select("token", F.col("sid").alias("u"), F.col("component").alias("cu"), F.col("n").alias("nu"), F.col("pos").alias("pu"))
+            other = rest.select("token", F.col("sid").alias("v"), F.col("component").alias("cv"), F.col("n").alias("nv"), F.col("pos").alias("pv"))
+            pairs = left.join(other, "token").where("u < v and coalesce(cu, u) != coalesce(cv, v)").where(room)
+        else:
+            pairs = rest.where("sid != lead.sid").select(F.col("sid").alias("u"), F.col("n").alias("nu"), F.col("pos").alias("pu"), F.col("lead.sid").alias("v"), F.col("lead.n").alias("nv"), F.col("lead.pos").alias("pv")).where(room)
+        pairs = pairs.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = materialise(pairs, "candidate-pairs")
+        tried = pairs if tried is None else tried.union(pairs)
+        found = linked(docs, base, pairs, shipped, width, percent, salt)
+        if not found.isEmpty():
+            links = found if links is None else links.union(found)
+            groups = components(links)
+        # a leader has met its whole list
+        rest = rest.where("sid != lead.sid").select("token", "sid", "n", "pos", "score")
+        placed = groups.select(F.col("node").alias("sid"), "component") if groups is not None else None
+        rest = rest.join(placed, "sid", "left") if placed is not None else rest.withColumn("component", F.lit(None).cast("long"))
+
+    if groups is None:
+        groups = base.select(F.col("sid").alias("node"), F.col("sid").alias("component")).limit(0)
     rooted = base.join(groups.withColumnRenamed("node", "sid"), "sid", "left")
     rooted = materialise(rooted.select("doc_id", "n", F.coalesce("component", "sid").alias("root")), "rooted")
     least = rooted.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))
