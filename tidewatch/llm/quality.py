@@ -190,7 +190,7 @@ def score_of(crf: Crf, quality: np.ndarray, threshold: float) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, threshold: float = THRESHOLD) -> Crf:
     """Fit on at most ``rows`` labelled documents; ``docs`` has doc_id and text, ``labels`` doc_id and label (1 good)."""
     labels = labels.where("label is not null and doc_id is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
-    chosen = bounded(labels, rows, "doc_id", 5)
+    chosen = F.broadcast(bounded(labels, rows, "doc_id", 5))  # at most about ``rows`` short rows
 
     def features(batches):
         for b in blocks(batches):

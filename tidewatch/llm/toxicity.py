@@ -157,7 +157,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Softmax
     labels = labels.where("label is not null and doc_id is not null").groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
     toxic = bounded(labels.where("label = 1"), rows // 3, "doc_id", 3)
     other = bounded(labels.where("label = 0"), rows - rows // 3, "doc_id", 3)
-    got = docs.select("doc_id", "text").where("text is not null").join(toxic.union(other), "doc_id").collect()
+    got = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(toxic.union(other)), "doc_id").collect()
     got.sort(key=lambda r: (r.doc_id, r.text))
     return fit([r.text for r in got], np.array([r.label for r in got], int))
 
