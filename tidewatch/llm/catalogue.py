@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import exact, jaccard, language, mixing, packing, quality, suffix, toxicity
+from tidewatch.llm import embeddings, exact, jaccard, language, mixing, packing, quality, suffix, surrogates, toxicity
 
 QUERIES = {
+    "op1_pivot_permutation": embeddings.op1_pivot_permutation,
     "op2_suffix_array": suffix.op2_suffix_array,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_exact_dedup": exact.op4_exact_dedup,
     "op5_quality": quality.op5_quality,
     "op6_language_id": language.op6_language_id,
+    "op7_surrogates": surrogates.op7_surrogates,
     "op8_packing": packing.op8_packing,
     "op9_mixing": mixing.op9_mixing,
     "op10_ngram_jaccard": jaccard.op10_ngram_jaccard,
