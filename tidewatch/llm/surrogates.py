@@ -35,33 +35,44 @@ SCRIPTS = [
     ("[α-ω]", "αβγδεζηθικλμνξοπρστυφχψω"),
 ]
 
-_TITLE = "|".join(FEMALE_TITLES + MALE_TITLES + OTHER_TITLES)
+_TITLE = rf"\b(?:{'|'.join(FEMALE_TITLES + MALE_TITLES + OTHER_TITLES)})\.? "
+_SECRET = r"(?:password|passwd|pwd|secret|token|api_key|apikey|api-key)[ ]{0,2}[=:][ ]{0,2}[\"']?"
+_WORD = r"A-Za-z0-9\u00C0-\u024F\u0370-\u03FF\u0400-\u04FF"
+_OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+# What begins a match is cheap to refuse at any other place, so a text costs about one step for each character and pattern.
 PATTERNS = {
-    "email": r"[\p{L}\p{N}._%+-]{1,64}@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){1,6}",
-    "secret": r"(?<=(?:password|passwd|pwd|secret|token|api_key|apikey|api-key)[ ]{0,2}[=:][ ]{0,2}[\"']{0,1})[A-Za-z0-9_/+-]{8,200}",
+    "secret": _SECRET + r"[A-Za-z0-9_/+-]{8,200}",
+    "name": _TITLE + r"\p{Lu}\p{L}{1,30}(?: \p{Lu}\p{L}{1,30})?",
+    "email": rf"(?<![{_WORD}._%+-])[{_WORD}._%+-]{{1,64}}+@[{_WORD}-]{{1,63}}(?:\.[{_WORD}-]{{1,63}}){{1,6}}",
     "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
-    "ssn": r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",
-    "ip": r"(?<![0-9.])(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])(?:\.(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])){3}(?![0-9])",
+    "ip": rf"(?<![0-9.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9])",
     "card": r"(?<![0-9])[0-9]{4}(?:[ -]?[0-9]{4}){2}[ -]?[0-9]{1,7}(?![0-9])",
-    "phone": r"(?<![0-9])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])|(?<![0-9])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])|(?<![0-9-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])",
-    "name": rf"(?<=\b(?:{_TITLE})\.{{0,1}} )\p{{Lu}}\p{{L}}{{1,30}}(?: \p{{Lu}}\p{{L}}{{1,30}})?",
+    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "phone": r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])|(?<![0-9-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![0-9-])",
 }
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+_NUMBERS = ("ip", "card", "ssn", "phone")
+ANY = "|".join(f"(?:{PATTERNS[k]})" for k in PATTERNS if k not in _NUMBERS) + "|(?=[0-9+(])(?:" + "|".join(PATTERNS[k] for k in _NUMBERS) + ")"
+# every pattern needs one of these
+MAYBE = rf"[0-9@]|{_SECRET}|{_TITLE}"
 MOST_TURNS = 50
 
 
 def kind_of(entity: Column) -> Column:
     """The first type whose pattern, looked at alone, fits the whole entity."""
     out = F.lit("secret")
-    for name in ("name", "phone", "card", "ip", "ssn", "iban", "email"):
-        alone = PATTERNS[name].replace(rf"(?<=\b(?:{_TITLE})\.{{0,1}} )", "") if name == "name" else PATTERNS[name]
-        out = F.when(entity.rlike(f"^(?:{alone})$"), name).otherwise(out)
+    for name in ("phone", "ssn", "card", "ip", "iban", "email", "name", "secret"):
+        out = F.when(entity.rlike(f"^(?:{PATTERNS[name]})$"), name).otherwise(out)
     return out
 
 
-def gender_of(before: Column) -> Column:
-    """What the title at the end of the text before says: f, m or x."""
-    said = lambda titles: before.rlike(rf"\b(?:{'|'.join(titles)})\.? $")
+def lead_of(kind: Column, entity: Column) -> Column:
+    """The words that tell the type and stay: a title, or what names a secret."""
+    return F.when(kind == "name", F.regexp_extract(entity, "^" + _TITLE, 0)).when(kind == "secret", F.regexp_extract(entity, "^" + _SECRET, 0)).otherwise("")
+
+
+def gender_of(title: Column) -> Column:
+    """What a title says: f, m or x."""
+    said = lambda titles: title.rlike(rf"^(?:{'|'.join(titles)})\.? $")
     return F.when(said(FEMALE_TITLES), "f").when(said(MALE_TITLES), "m").otherwise("x")
 
 
@@ -130,12 +141,18 @@ def formatted(kind: Column, entity: Column, new: Column) -> Column:
 
 
 def found(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``crc``, ``text``, ``rest`` (the text between entities) and ``e`` (the entities with kind, gender and bare value)."""
+    """``doc_id``, ``crc``, ``text``, ``rest`` (the text between entities) and ``e`` (entity, kind, gender, lead and bare value of each)."""
     body = F.col("text").cast("string")
-    rows = docs.select("doc_id", F.crc32(body.cast("binary")).alias("crc"), body.alias("text"), F.regexp_extract_all(body, F.lit(ANY), F.lit(0)).alias("hits"), F.split(body, ANY, -1).alias("rest"))
-    kinds = F.transform("hits", lambda x, i: F.struct(x.alias("entity"), kind_of(x).alias("kind"), gender_of(F.element_at("rest", i + 1)).alias("gender")))
-    rows = rows.withColumn("e", kinds)
-    return rows.withColumn("e", F.transform("e", lambda x: F.struct(x["entity"].alias("entity"), x["kind"].alias("kind"), F.when(x["kind"] == "name", x["gender"]).otherwise("x").alias("gender"), bare(x["kind"], x["entity"]).alias("value")))).drop("hits")
+    maybe = body.rlike(MAYBE)
+    rows = docs.select(
+        "doc_id", F.crc32(body.cast("binary")).alias("crc"), body.alias("text"),
+        F.when(maybe, F.regexp_extract_all(body, F.lit(ANY), F.lit(0))).otherwise(F.array()).alias("hits"),
+    )
+    rows = rows.withColumn("rest", F.when(F.size("hits") > 0, F.split("text", ANY, -1)).otherwise(F.array()))
+    rows = rows.withColumn("e", F.transform("hits", lambda x: F.struct(x.alias("entity"), kind_of(x).alias("kind"))))
+    rows = rows.withColumn("e", F.transform("e", lambda x: F.struct(x["entity"].alias("entity"), x["kind"].alias("kind"), lead_of(x["kind"], x["entity"]).alias("lead"))))
+    rows = rows.withColumn("e", F.transform("e", lambda x: F.struct(F.substring(x["entity"], F.length(x["lead"]) + 1, F.length(x["entity"])).alias("entity"), x["kind"].alias("kind"), gender_of(x["lead"]).alias("gender"), x["lead"].alias("lead"))))
+    return rows.withColumn("e", F.transform("e", lambda x: F.struct(x["entity"].alias("entity"), x["kind"].alias("kind"), x["gender"].alias("gender"), x["lead"].alias("lead"), bare(x["kind"], x["entity"]).alias("value")))).drop("hits")
 
 
 def turns(entities: DataFrame, key: str) -> DataFrame:
@@ -169,7 +186,7 @@ def replace(docs: DataFrame, key: str) -> DataFrame:
     def new(x):
         mine = F.filter("later", lambda t: (t["kind"] == x["kind"]) & (t["gender"] == x["gender"]) & (t["value"] == x["value"]))
         turn = F.coalesce(F.get(mine, F.lit(0))["turn"], F.lit(0))
-        return formatted(x["kind"], x["entity"], surrogate(x["kind"], x["gender"], x["value"], turn, key))
+        return F.concat(x["lead"], formatted(x["kind"], x["entity"], surrogate(x["kind"], x["gender"], x["value"], turn, key)))
 
     pieces = F.zip_with("rest", F.transform("e", new), lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
     text = F.when(F.size("e") > 0, F.array_join(pieces, "")).otherwise(F.col("text"))
