@@ -64,7 +64,8 @@ def drop_exact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     key = F.sha2(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary"), 256)
     keep = groups.select(F.col("doc_id").alias("_keep"), F.col("text_sha256").alias("_sha"), "_n")
     keep = materialise(keep, "kept")
-    found = docs.withColumn("_text_sha", key).join(keep, F.col(f"`{doc_id}`").eqNullSafe(F.col("_keep")) & (F.col("_text_sha") == F.col("_sha")))
+    # the kept ids grow with the documents: joined by sorting at every size
+    found = docs.withColumn("_text_sha", key).join(keep.hint("merge"), F.col(f"`{doc_id}`").eqNullSafe(F.col("_keep")) & (F.col("_text_sha") == F.col("_sha")))
     once = found.where("_n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
     more = found.where("_n > 1").dropDuplicates(["_keep", "_sha"]).select(*[F.col(f"`{c}`") for c in docs.columns])
     return once.unionByName(more) if keep.where("_n > 1").limit(1).count() else once

@@ -305,7 +305,8 @@ def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     """The documents whose id is their component's; of repeated rows of that id one stays."""
     groups = near_duplicates(docs.select("doc_id", "text"), width, percent).where("doc_id <=> component_id")
     keep = materialise(groups.groupBy("doc_id").agg(F.count("*").alias("_n")).withColumnRenamed("doc_id", "_keep"), "kept")
-    found = docs.join(keep, docs["doc_id"].eqNullSafe(F.col("_keep")))
+    # the kept ids grow with the documents: joined by sorting at every size
+    found = docs.join(keep.hint("merge"), docs["doc_id"].eqNullSafe(F.col("_keep")))
     cols = [docs[c] for c in docs.columns]
     if keep.where("_n > 1").limit(1).count() == 0:
         return found.select(*cols)

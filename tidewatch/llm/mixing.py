@@ -152,5 +152,6 @@ def resample(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], bu
     chance = F.pmod(F.xxhash64(F.lit(23), F.col("doc_id")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     copies = out.groupBy("doc_id").agg(F.max("rate").alias("rate")).select(F.col("doc_id").alias("_id"), F.floor(F.col("rate") + chance).cast("int").alias("_copies"))
     copies = materialise(copies.where("_copies > 0"), "copies")
-    found = docs.join(copies, docs["doc_id"].eqNullSafe(F.col("_id")))
+    # the kept ids grow with the documents: joined by sorting at every size
+    found = docs.join(copies.hint("merge"), docs["doc_id"].eqNullSafe(F.col("_id")))
     return found.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
