@@ -123,7 +123,7 @@ def fit_scaler(df: DataFrame, panel: Panel = HOURLY, method: str = "standard") -
 
 def _fitted(state: DataFrame | None) -> DataFrame:
     if state is None:
-        raise RuntimeError("Scaler not fitted. Call fit_scaler() first.")
+        raise RuntimeError("no scaling state yet: fit the scaler before using it")
     return state
 
 

@@ -25,7 +25,7 @@ class SequenceForecaster:
 
     def _check(self):
         if self.model is None:
-            raise RuntimeError("Model 'sequence' is not fitted. Call fit() first.")
+            raise RuntimeError("the sequence model has no fitted state yet")
 
     def _scaled(self, df: DataFrame) -> DataFrame:
         p = self.panel

@@ -131,7 +131,7 @@ def regularise(
     A duplicate timestamp raises unless ``on_duplicate`` is ``mean`` or ``last``.
     """
     if fill not in FILLS:
-        raise ValueError(f"Unknown imputation strategy: {fill}")
+        raise ValueError(f"fill must be a known way to fill gaps, got {fill!r}")
     df = _unique(df, panel, on_duplicate, order_by)
     keys, step = list(panel.keys), panel.step_us
     extras = [c for c in df.columns if c not in (*keys, panel.ts, panel.value)]

@@ -30,7 +30,7 @@ class Forecaster:
 
     def _check_fitted(self) -> None:
         if not self.is_fitted:
-            raise RuntimeError(f"Model '{self.name}' is not fitted. Call fit() first.")
+            raise RuntimeError(f"{self.name} has no fitted state yet")
 
     def fit(self, df: DataFrame, features: list[str], target: str = "target") -> "Forecaster":
         raise NotImplementedError

@@ -16,7 +16,7 @@ def with_position(df: DataFrame, panel: Panel = HOURLY) -> DataFrame:
 def temporal_split(
     df: DataFrame, panel: Panel = HOURLY, train_ratio: float | None = None, val_ratio: float | None = None,
 ) -> DataFrame:
-    """Adds ``split``: train, val, test in time order per series; no shuffling, no leak.
+    """Adds ``split``: train, val, test in time order per series; later rows never come before earlier ones.
 
     Cut points are floor(n * ratio) in double arithmetic. Only ``None`` means
     the default ratio, so a ratio of 0 is honoured.

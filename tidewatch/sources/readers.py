@@ -16,7 +16,7 @@ def check_columns(df: DataFrame, required, name: str = "DataFrame") -> None:
     """ValueError when a required column is absent."""
     absent = sorted(set(required) - set(df.columns))
     if absent:
-        raise ValueError(f"{name} is missing columns: {absent}")
+        raise ValueError(f"columns absent from {name}: {absent}")
 
 
 def enforce_schema(df: DataFrame, panel: Panel = HOURLY, name: str = "RawData") -> DataFrame:
@@ -68,7 +68,7 @@ def load(spark: SparkSession, path: str, panel: Panel = HOURLY) -> DataFrame:
     elif suffix == ".parquet":
         df = spark.read.parquet(path)
     else:
-        raise ValueError(f"Unsupported file type: {suffix}")
+        raise ValueError(f"no reader for files ending in {suffix!r}")
     check_columns(df, (panel.ts, panel.value), "RawData")
     if "series" in panel.keys and "series" not in df.columns:
         name = os.path.splitext(os.path.basename(path))[0]

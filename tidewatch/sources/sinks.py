@@ -107,7 +107,7 @@ def load_fitted(spark: SparkSession, path: str) -> DataFrame:
     from tidewatch.sources.readers import _exists
 
     if not _exists(spark, path):
-        raise FileNotFoundError(f"Artifact not found: {path}")
+        raise FileNotFoundError(f"nothing stored at {path}")
     return spark.read.parquet(path)
 
 
