@@ -10,6 +10,7 @@ from tidewatch.operators.metrics import seasonal_naive
 from tidewatch.operators.split import temporal_split
 from tidewatch.schemas import DAILY, HOURLY
 
+GRID, DAILY_GRID = HOURLY.on(full=True), DAILY.on(full=True)  # what regularise fills has no gaps
 DRIFT_DAY = "1998-06-01"
 DRIFT_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -47,7 +48,12 @@ def split(spark, d) -> DataFrame:
 
 def naive(spark, d) -> DataFrame:
     """Actual and seasonal-naive prediction on the grid."""
-    return seasonal_naive(plain(spark, d))
+    return seasonal_naive(plain(spark, d), GRID)
+
+
+def gappy(spark, d) -> DataFrame:
+    """Hours of each user that have events, and no other row."""
+    return regularise(hourly(spark, d, "user_id"), HOURLY, "drop")
 
 
 def daily(spark, d) -> DataFrame:
@@ -100,6 +106,7 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
   FROM events GROUP BY 1, 2)""", ()),
     "u": ("""u AS (SELECT user_id::VARCHAR AS series, date_trunc('hour', ts) AS timestamp, round(sum(value), 2) AS demand
   FROM events GROUP BY 1, 2)""", ()),
+    "ud": ("ud AS (SELECT * FROM u WHERE demand IS NOT NULL)", ("u",)),
     "l": ("""l AS (SELECT l_suppkey::VARCHAR AS series, l_shipdate AS timestamp, sum(l_quantity) AS demand
   FROM lineitem GROUP BY 1, 2)""", ()),
     "g": (_FILL.format(name="g", src="h", step="1 HOUR"), ("h",)),

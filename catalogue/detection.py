@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalogue import query
-from catalogue.base import naive, plain, r, split, sql, view
+from catalogue.base import GRID, gappy, naive, plain, r, split, sql, view
 from tidewatch.operators import anomaly as a
 from tidewatch.operators.features import build_features, feature_names
 from tidewatch.operators.iforest import IsolationForest
@@ -26,23 +26,31 @@ def z_view(name: str, src: str, train: str) -> None:
   SELECT series, timestamp, demand, abs((demand - m) / (coalesce(sd, fit) + 1e-8)) AS z FROM (
     SELECT series, timestamp, demand, avg(demand) OVER w AS m, stddev_samp(demand) OVER w AS sd FROM {src}
     WINDOW w AS (PARTITION BY series ORDER BY timestamp ROWS BETWEEN 167 PRECEDING AND CURRENT ROW))
-  JOIN (SELECT series, stddev_samp(demand) + 1e-8 AS fit FROM {train} GROUP BY 1) USING (series)))""", src if src in ("g", "ug") else "s")
+  JOIN (SELECT series, stddev_samp(demand) + 1e-8 AS fit FROM {train} GROUP BY 1) USING (series)))""", src if src in ("g", "ug", "ud") else "s")
 
 
 z_view("zg", "g", "g")
 z_view("zu", "ug", "ug")
+z_view("zd", "ud", "ud")
 
 
 @query("zscore_anomalies", sql(result("zg", "zs", "zf", "zscore", "NULL::DOUBLE", "demand"), "zg"))
 def zscore_anomalies(spark, d):
     g = plain(spark, d)
-    return a.zscore_anomalies(g, a.fit_rolling_z(g))
+    return a.zscore_anomalies(g, a.fit_rolling_z(g), GRID)
 
 
 @query("zscore_anomalies_by_user", sql(result("zu", "zs", "zf", "zscore", "NULL::DOUBLE", "demand"), "zu"))
 def zscore_by_user(spark, d):
     g = plain(spark, d, "user_id")
-    return a.zscore_anomalies(g, a.fit_rolling_z(g))
+    return a.zscore_anomalies(g, a.fit_rolling_z(g), GRID)
+
+
+@query("zscore_gappy", sql(result("zd", "zs", "zf", "zscore", "NULL::DOUBLE", "demand"), "zd"))
+def zscore_gappy(spark, d):
+    """The rolling window counts rows where a series has gaps."""
+    rows = gappy(spark, d)
+    return a.zscore_anomalies(rows, a.fit_rolling_z(rows))
 
 
 view("rp", """rp AS (SELECT *, least(abs(actual - predicted) / (3 * sd + 1e-8), 1) AS rs, abs(actual - predicted) > 3 * sd AS rf
@@ -111,7 +119,7 @@ def anomaly_file(spark, d):
 
 def forest_rows(spark, d):
     """Feature matrix by split, written once."""
-    matrix = build_features(split(spark, d))
+    matrix = build_features(split(spark, d), GRID)
     return materialise(matrix, "forest"), feature_names(matrix, HOURLY)
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from catalogue import query
-from catalogue.base import daily_grid, grid, plain, r, split, sql, view
+from catalogue.base import DAILY_GRID, GRID, daily_grid, gappy, grid, plain, r, split, sql, view
 from tidewatch.operators import features as f
 from tidewatch.operators.split import temporal_split
 from tidewatch.schemas import DAILY, LAGS, ROLLING_WINDOWS
@@ -59,7 +59,19 @@ def lag_features(spark, d):
 
 @query("rolling_features", sql(f"SELECT series, timestamp, {shown(['demand', *ROLL_NAMES])} FROM (SELECT *, {roll_sql()} FROM g)", "g"))
 def rolling_features(spark, d):
-    return f.rolling_features(plain(spark, d))
+    return f.rolling_features(plain(spark, d), GRID)
+
+
+@query("lag_features_gappy", sql(f"SELECT series, timestamp, {shown(['demand', *LAG_NAMES])} FROM (SELECT *, {lag_sql('(PARTITION BY series ORDER BY timestamp)')} FROM ud)", "ud"))
+def lag_features_gappy(spark, d):
+    """Lags count rows where a series has gaps."""
+    return f.lag_features(gappy(spark, d))
+
+
+@query("rolling_features_gappy", sql(f"SELECT series, timestamp, {shown(['demand', *ROLL_NAMES])} FROM (SELECT *, {roll_sql()} FROM ud)", "ud"))
+def rolling_features_gappy(spark, d):
+    """Frames count rows where a series has gaps."""
+    return f.rolling_features(gappy(spark, d))
 
 
 @query("calendar_features", sql(f"SELECT series, timestamp, {r('demand')} AS demand, {CALENDAR} FROM lg", "lg"))
@@ -95,18 +107,18 @@ view("lw", f"""lw AS (SELECT *, {CALENDAR}, {CYCLES}, {HOLIDAY} FROM (SELECT ser
 
 @query("feature_matrix", sql(f"SELECT series, timestamp, {r('demand')} AS demand, {ALL} FROM w", "w"))
 def feature_matrix(spark, d):
-    return f.build_features(plain(spark, d))
+    return f.build_features(plain(spark, d), GRID)
 
 
 @query("feature_matrix_daily", sql(f"SELECT series, timestamp, {r('demand')} AS demand, {ALL} FROM lw", "lw"))
 def feature_matrix_daily(spark, d):
-    return f.build_features(daily_grid(spark, d).drop("pos", "n"), DAILY)
+    return f.build_features(daily_grid(spark, d).drop("pos", "n"), DAILY_GRID)
 
 
 @query("feature_matrix_by_split", sql(f"SELECT series, timestamp, split, {r('demand')} AS demand, {ALL} FROM m", "m"))
 def feature_matrix_by_split(spark, d):
     """Windows stay inside each split, which loses its look-back rows."""
-    return f.build_features(split(spark, d))
+    return f.build_features(split(spark, d), GRID)
 
 
 @query("feature_matrix_carried", sql(f"""SELECT w.series, w.timestamp, split, {r('w.demand')} AS demand,
@@ -114,12 +126,12 @@ def feature_matrix_by_split(spark, d):
 def feature_matrix_carried(spark, d):
     """Windows run over the splits' borders."""
     keep = ["series", "timestamp", "split", "demand", *LAG_NAMES, *ROLL_NAMES]
-    return f.build_features(split(spark, d), carry_history=True).select(*keep)
+    return f.build_features(split(spark, d), GRID, carry_history=True).select(*keep)
 
 
 @query("feature_target", sql(f"SELECT series, timestamp, {r('demand')} AS target, {ALL} FROM m WHERE split = 'train'", "m"))
 def feature_target(spark, d):
-    return f.feature_target(f.build_features(split(spark, d)).where("split = 'train'"))
+    return f.feature_target(f.build_features(split(spark, d), GRID).where("split = 'train'"))
 
 
 @query("sequence_pairs", sql(f"""SELECT series, timestamp, step, {r('v', 2)} AS v, {r('next_value', 2)} AS next_value FROM (

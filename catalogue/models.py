@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalogue import query
 from catalogue.accuracy import NAMES, metric_sql, shown
-from catalogue.base import grid, plain, r, split, sql, view
+from catalogue.base import GRID, grid, plain, r, split, sql, view
 from tidewatch.operators import models as mo
 from tidewatch.operators.features import build_features, feature_names, lag_features
 from tidewatch.operators.forecast import SequenceForecaster, naive_forecast
@@ -20,7 +20,7 @@ TWO = ["demand_lag_1h", "demand_lag_24h"]
 
 def matrix(spark, d):
     """The feature matrix by split, written once, and its feature names."""
-    m = build_features(split(spark, d))
+    m = build_features(split(spark, d), GRID)
     names = feature_names(m, HOURLY)
     return materialise(m.withColumn("target", F.col("demand")), "matrix"), names
 

@@ -78,3 +78,26 @@ def test_chunking_does_not_change_the_matrix(spark, chunk):
     b = f.build_features(df, HOURLY)
     for c in cols:
         assert values(a, c) == pytest.approx(values(b, c))
+
+
+@pytest.mark.parametrize("chunk", [16, 64, 512])
+def test_row_windows_on_gaps_equal_plain_windows(spark, chunk):
+    from pyspark.sql import Window
+
+    from tidewatch.operators import anomaly, metrics
+
+    panel, w = HOURLY.on(chunk_rows=chunk), Window.partitionBy("series").orderBy("timestamp")
+    df = series(spark, wave(1500), gaps=[i for i in range(1500) if i * i % 11 > 3]).cache()
+    n = df.count()
+    lags = (1, 24, 48)
+    plain = df.select("*", *[F.lag("demand", k).over(w).alias(f"demand_lag_{k}h") for k in lags])
+    ours = f.lag_features(df, panel, lags)
+    assert ours.count() == n and ours.exceptAll(plain).isEmpty()
+    means = f.rolling_features(df, panel, (30,), ("mean",)).join(df.select("timestamp", F.avg("demand").over(w.rowsBetween(-30, -1)).alias("want")), "timestamp")
+    assert means.where("abs(demand_roll_mean_30h - want) > 1e-9 or (want is null) != (demand_roll_mean_30h is null)").isEmpty()
+    assert f.sequence_pairs(df, panel, 24).count() == n - 24
+    assert metrics.seasonal_naive(df, panel, 24).count() == n - 24
+    x, m, s = F.col("demand"), F.avg("demand").over(w.rowsBetween(-39, 0)), F.stddev_samp("demand").over(w.rowsBetween(-39, 0))
+    want = df.select("timestamp", F.coalesce(F.abs((x - m) / (s + 1e-8)), F.lit(0.0)).alias("want"))
+    z = anomaly.rolling_z(df, anomaly.fit_rolling_z(df), panel, window=40).join(want, "timestamp")
+    assert z.count() == n and z.where("abs(z - want) > 1e-6").isEmpty()

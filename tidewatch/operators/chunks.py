@@ -4,8 +4,9 @@ A ROWS window partitioned by series alone puts a whole series in one task.
 Here a series is cut along its axis into chunks; each row is also copied to
 the neighbouring chunk when that chunk's windows reach back (or ahead) to it.
 Windows then partition by (keys, chunk), and only a chunk's own rows are kept.
-On a gap-free grid, looking back n rows is looking back n steps, so the copies
-are exactly the rows a window needs.
+Windows count rows, so rows are ranked first and cut by rank; where the panel
+is said to be full, n rows back is n steps back and time serves as the rank.
+Key columns and times are not null, as in the series table.
 """
 
 from __future__ import annotations
@@ -51,7 +52,11 @@ def join_by_chunk(rows: DataFrame, per_chunk: DataFrame, keys, on: str = "_chunk
 
 def chunked(df: DataFrame, panel: Panel, back: int, ahead: int = 0) -> DataFrame:
     """Add ``_chunk`` and ``_own``, copying the rows neighbouring chunks need."""
-    axis, step = axis_of(df, panel)
+    if panel.full:
+        axis, step = axis_of(df, panel)
+    else:
+        df = _ranked(df, panel, "_pos", "_n").drop("_n")
+        axis, step = F.col("_pos"), 1
     rows = max(panel.chunk_rows, back, ahead, 1)
     own = chunk_of(axis, step, rows)
     inside = F.pmod(axis, F.lit(step * rows))
@@ -61,9 +66,9 @@ def chunked(df: DataFrame, panel: Panel, back: int, ahead: int = 0) -> DataFrame
     if ahead:
         targets.append(F.when(inside < ahead * step, own - 1))
     if len(targets) == 1:
-        return by_chunk(df.withColumn("_chunk", own).withColumn("_own", F.lit(True)), panel)
+        return by_chunk(df.withColumn("_chunk", own).withColumn("_own", F.lit(True)).drop("_pos"), panel)
     out = df.withColumn("_home", own).withColumn("_chunk", F.explode(F.array_compact(F.array(*targets))))
-    return by_chunk(out.withColumn("_own", F.col("_chunk") == F.col("_home")).drop("_home"), panel)
+    return by_chunk(out.withColumn("_own", F.col("_chunk") == F.col("_home")).drop("_home", "_pos"), panel)
 
 
 def chunk_window(panel: Panel):
@@ -80,6 +85,10 @@ def positions(df: DataFrame, panel: Panel) -> DataFrame:
     Ranks come from row counts per chunk: the running total over a series'
     chunks (one small row each) plus the rank inside the chunk.
     """
+    return _ranked(df, panel, "pos", "n")
+
+
+def _ranked(df: DataFrame, panel: Panel, pos: str, n: str) -> DataFrame:
     axis, step = axis_of(df, panel)
     rows = df.withColumn("_chunk", chunk_of(axis, step, panel.chunk_rows))
     keys = list(panel.keys)
@@ -87,13 +96,13 @@ def positions(df: DataFrame, panel: Panel) -> DataFrame:
     counts = (
         rows.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_count"))
         .withColumn("_before", F.sum("_count").over(order.rowsBetween(Window.unboundedPreceding, -1)))
-        .withColumn("n", F.sum("_count").over(Window.partitionBy(*keys)))
-        .select(*keys, "_chunk", F.coalesce("_before", F.lit(0)).alias("_before"), "n")
+        .withColumn(n, F.sum("_count").over(Window.partitionBy(*keys)))
+        .select(*keys, "_chunk", F.coalesce("_before", F.lit(0)).alias("_before"), n)
     )
     rank = F.row_number().over(chunk_window(panel)) - 1
     return (
         join_by_chunk(rows, counts, keys)
-        .withColumn("pos", F.col("_before") + rank)
+        .withColumn(pos, F.col("_before") + rank)
         .drop("_before", "_chunk")
     )
 

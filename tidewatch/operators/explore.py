@@ -187,7 +187,7 @@ def rolling_buckets(df: DataFrame, panel: Panel = HOURLY, unit: str = "6 hours",
     """
     buckets = resample(df, panel, unit).where(F.col(panel.value).isNotNull())
     ranked = with_position(buckets, panel).drop("n")
-    by_rank = panel.on(ts="pos")
+    by_rank = panel.on(ts="pos", full=True)
     rows = rolling(chunked(ranked, by_rank, max(widths) - 1), chunk_window(by_rank), panel.value, widths, ["mean", "std", "count"])
     made = [_full(w, "mean").alias(f"rolling_mean_{w}") for w in widths] + [_full(widths[0], "std").alias(f"rolling_std_{widths[0]}")]
     return rows.where("_own").select(*panel.keys, panel.ts, panel.value, *made)
@@ -256,9 +256,10 @@ def seasonal_decompose(df: DataFrame, panel: Panel = HOURLY, period: int = 168)
     """
     keys, half = list(panel.keys), period // 2
     rows = with_position(df, panel).where(F.col("n") >= 2 * period)
-    w = chunk_window(panel)
+    by_rank = panel.on(ts="pos", full=True)
+    w = chunk_window(by_rank)
     # the trailing sum of `period` rows, read half a period ahead, is the centred sum
-    wide = rolling(chunked(rows, panel, half, half), w, panel.value, [period], ["sum"])
+    wide = rolling(chunked(rows, by_rank, half, half), w, panel.value, [period], ["sum"])
     if period % 2 == 0:
         centre = (F.lead(f"_sum_{period}", half - 1).over(w) + F.lead(f"_sum_{period}", half).over(w)) / (2 * period)
     else:

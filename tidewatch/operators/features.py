@@ -23,7 +23,7 @@ def _rolling_columns(panel: Panel, windows, stats):
 
 
 def lag_features(df: DataFrame, panel: Panel = HOURLY, lags=LAGS) -> DataFrame:
-    """Value k rows back, for each k, on a gap-free grid."""
+    """Value k rows back, for each k."""
     w = chunk_window(panel)
     return own_rows(chunked(df, panel, max(lags)).select("*", *_lag_columns(panel, w, lags)))
 

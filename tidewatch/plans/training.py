@@ -54,7 +54,7 @@ def run(
     parts = temporal_split(cleaned.drop("is_outlier"), panel)
     sinks.save_fitted(fit_scaler(parts.where("split = 'train'"), panel), f"{out}/scaler")
 
-    matrix = build_features(parts, panel)
+    matrix = build_features(parts, panel.on(full=True))  # cleaning made the grid
     names = feature_names(matrix, panel)
     matrix = materialise(matrix.withColumn("target", F.col(panel.value)), "matrix")
     train, trainval = matrix.where("split = 'train'"), matrix.where("split in ('train', 'val')")
