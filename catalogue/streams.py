@@ -10,7 +10,7 @@ from catalogue.detection import SEVERITY
 from catalogue.models import ONE, lagged
 from tidewatch.operators import anomaly as a
 from tidewatch.operators.models import LinearForecaster
-from tidewatch.session import new_path
+from tidewatch.session import materialise, new_path
 from tidewatch.sources import payload
 from tidewatch.streaming import jobs
 
@@ -23,14 +23,9 @@ def event_stream(spark, d):
     )
 
 
-# windows that end after the watermark (newest time less two hours) are still open
-CLOSED = "(SELECT max(ts) - INTERVAL 2 HOURS FROM events)"
-
-
-@query("stream_rollup", f"""SELECT event_type AS series, date_trunc('hour', ts) AS timestamp, {r('avg(value)')} AS demand FROM events
-  GROUP BY 1, 2 HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= {CLOSED}""")
+@query("stream_rollup", f"""SELECT event_type AS series, date_trunc('hour', ts) AS timestamp, {r('avg(value)')} AS demand FROM events GROUP BY 1, 2""")
 def stream_rollup(spark, d):
-    return jobs.run_to_table(jobs.rollup(event_stream(spark, d)), new_path(spark, "rollup"))
+    return jobs.run_to_table(jobs.rollup(event_stream(spark, d)), new_path(spark, "rollup"), keys=["series", "timestamp"])
 
 
 @query("stream_dedup", "SELECT DISTINCT event_type AS series, date_trunc('hour', ts) AS timestamp FROM events")
@@ -42,10 +37,10 @@ def stream_dedup(spark, d):
 
 @query("stream_latency", f"""SELECT date_trunc('hour', ts) AS window_start, count(*) AS count, {r('avg(value)')} AS mean_ms, {r('quantile_cont(value, 0.5)')} AS p50_ms,
   {r('quantile_cont(value, 0.95)')} AS p95_ms, {r('quantile_cont(value, 0.99)')} AS p99_ms, {r('max(value)')} AS max_ms, {r('avg((value > 100)::INT) * 100')} AS sla_breach_pct
-  FROM events GROUP BY 1 HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= {CLOSED}""")
+  FROM events GROUP BY 1""")
 def stream_latency(spark, d):
     out = jobs.latency(event_stream(spark, d), "timestamp", "demand", sla_ms=100.0)
-    return jobs.run_to_table(out, new_path(spark, "latency"))
+    return jobs.run_to_table(out, new_path(spark, "latency"), keys=["window_start"])
 
 
 def _bodies(spark, d):
@@ -61,7 +56,7 @@ def _bodies(spark, d):
   FROM events JOIN (SELECT series, stddev_pop(actual - predicted) + 1e-8 AS sd FROM p GROUP BY 1) k ON k.series = event_type)""", "p"))
 def stream_anomaly(spark, d):
     """Request bodies decoded and checked against stored residual calibration."""
-    calibration = a.fit_residuals(naive(spark, d))
+    calibration = materialise(a.fit_residuals(naive(spark, d)), "calibration")  # not once per micro-batch
     good, _ = payload.split_valid(payload.decode_anomaly(_bodies(spark, d)))
     return jobs.run_to_table(jobs.detect(good, calibration, keep=("event_id",)), new_path(spark, "anomaly"))
 
@@ -82,20 +77,21 @@ def stream_score(spark, d):
 
 @query("stream_zscore", f"""SELECT series, timestamp, {r('demand', 5)} AS actual, {r('z', 5)} AS z, {r('least(z / (3 + 1e-8), 1)', 5)} AS anomaly_score, z > 3 AS is_anomaly FROM (
   SELECT series, timestamp, demand, abs(demand - avg(demand) OVER w) / (coalesce(stddev_samp(demand) OVER w, 1) + 1e-8) AS z FROM (
-    SELECT event_type AS series, ts AS timestamp, value AS demand FROM events) WINDOW w AS (PARTITION BY series ORDER BY timestamp ROWS BETWEEN 167 PRECEDING AND CURRENT ROW))""", digits=5)
+    SELECT event_type AS series, ts AS timestamp, value AS demand FROM events) WINDOW w AS (PARTITION BY series ORDER BY timestamp, demand ROWS BETWEEN 167 PRECEDING AND CURRENT ROW))""", digits=5)
 def stream_zscore(spark, d):
     out = jobs.online_zscore(event_stream(spark, d).select("series", "timestamp", "demand"))
-    return jobs.run_to_table(out, new_path(spark, "zscore"))
+    return jobs.run_to_table(out, new_path(spark, "zscore"), keys=["series", "seq"]).drop("seq")
 
 
 @query("stream_drift")
 def stream_drift(spark, d):
-    """Line items as a stream, weekly bin counts against the training ranges, PSI of the closed weeks."""
+    """Line items as a stream, weekly bin counts against the training ranges, PSI of every week."""
     train, _ = drift_sides(spark, d)
-    baseline = jobs.drift_baseline(train, DRIFT_FEATURES)
+    baseline = materialise(jobs.drift_baseline(train, DRIFT_FEATURES), "baseline")
     schema = table(spark, d, "lineitem").schema
     stream = jobs.file_stream(spark, d, schema, "lineitem.parquet").select(F.col("l_shipdate").cast("timestamp").alias("timestamp"), *DRIFT_FEATURES)
     stream = stream.where(F.col("timestamp") >= F.lit(DRIFT_DAY).cast("timestamp"))
-    counts = jobs.run_to_table(jobs.drift_counts(stream, baseline, DRIFT_FEATURES), new_path(spark, "drift"))
+    counts = jobs.drift_counts(stream, baseline, DRIFT_FEATURES)
+    counts = jobs.run_to_table(counts, new_path(spark, "drift"), keys=["window_start", "feature", "bin"])
     return jobs.drift_from_counts(counts, baseline)
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -44,16 +45,59 @@ def test_repeats_are_dropped(spark, tmp_path):
     assert out.count() == 5
 
 
+def test_open_windows_are_in_the_table(spark, tmp_path):
+    rows = [("a", at(i / 4), float(i)) for i in range(40)]
+    late = [("a", at(9.9), 5.0), ("b", at(9), 2.0)]
+    out = jobs.run_to_table(jobs.rollup(feed(spark, str(tmp_path), rows, late)), str(tmp_path / "out"), keys=["series", "timestamp"])
+    got = {(r.series, r.timestamp): r.demand for r in out.collect()}
+    assert len(got) == 11 and got["b", at(9)] == 2.0
+    assert got["a", at(0)] == 1.5 and got["a", at(9)] == pytest.approx((36 + 37 + 38 + 39 + 5) / 5)
+
+
+def test_a_stream_without_rows_has_a_table(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    stream = jobs.file_stream(spark, str(tmp_path / "in"), spark.createDataFrame([], SCHEMA).schema)
+    assert jobs.run_to_table(jobs.rollup(stream), str(tmp_path / "out"), keys=["series", "timestamp"]).count() == 0
+
+
 def test_online_zscore_equals_batch(spark, tmp_path):
     v = wave(260)
     v[200] = 3000.0
     rows = [("a", at(i), x) for i, x in enumerate(v)]
     stream = feed(spark, str(tmp_path), rows[:100], rows[100:180], rows[180:])
-    out = jobs.run_to_table(jobs.online_zscore(stream), str(tmp_path / "out")).orderBy("timestamp").collect()
+    out = jobs.run_to_table(jobs.online_zscore(stream), str(tmp_path / "out"), keys=["series", "seq"]).orderBy("timestamp").collect()
     df = series(spark, v)
     batch = a.rolling_z(df, a.fit_rolling_z(df), HOURLY).orderBy("timestamp").collect()
     assert [r.z for r in out] == pytest.approx([r.z for r in batch], abs=1e-6)
     assert [r.is_anomaly for r in out] == [r.z_flag for r in batch] and out[200].is_anomaly
+    assert [r.seq for r in out] == list(range(260))
+
+
+def _plain_z(rows, window=168):
+    """(time, value, z) of one series by a plain loop, in order of time and value."""
+    rows, made = sorted(rows), []
+    for i, (when, x) in enumerate(rows):
+        frame = [b for _, b in rows[max(0, i - window + 1):i + 1]]
+        std = statistics.stdev(frame) if len(frame) > 1 else 1.0
+        made.append((when, x, abs(x - statistics.fmean(frame)) / (std + 1e-8)))
+    return made
+
+
+@pytest.mark.parametrize("mode", ["update", "append"])
+def test_online_zscore_keeps_late_and_tied_rows(spark, tmp_path, mode):
+    v = wave(240)
+    first = [("a", at(i), x) for i, x in enumerate(v[:120]) if i not in (118, 119)]
+    second = [("a", at(118), v[118]), ("a", at(117), 7.0), ("a", at(117), 7.0), ("a", at(117.5), 55.0), ("b", at(117), 3.0), ("a", at(118), None)]
+    third = [("a", at(i), x) for i, x in enumerate(v[120:], 120)] + [("a", at(119), v[119]), ("a", at(119), 12.0)]
+    job = jobs.online_zscore(feed(spark, str(tmp_path), first, second, third), mode=mode)
+    out = jobs.run_to_table(job, str(tmp_path / "out"), keys=["series", "seq"] if mode == "update" else None).collect()
+    for name in ("a", "b"):
+        want = _plain_z([(w, x) for s, w, x in first + second + third if s == name and x is not None])
+        if mode == "append":
+            want = [w for w in want if w[0] < at(237)]  # the newest two hours are still open
+        got = sorted((r.timestamp, r.actual, r.seq, r.z) for r in out if r.series == name)
+        assert [g[:2] for g in got] == [w[:2] for w in want]
+        assert [g[3] for g in got] == pytest.approx([w[2] for w in want], abs=1e-6)
 
 
 def test_detect_without_calibration(spark):

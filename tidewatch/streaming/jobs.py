@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -73,58 +73,69 @@ def detect(requests: DataFrame, calibration: DataFrame | None = None, keys=("ser
 
 def online_zscore(
     stream: DataFrame, panel: Panel = HOURLY, late: str = "2 hours", threshold: float = ZSCORE_THRESHOLD,
-    window: int = ROLLING_Z_WINDOW, fit_std: float = 1.0,
+    window: int = ROLLING_Z_WINDOW, fit_std: float = 1.0, mode: str = "update",
 ) -> DataFrame:
     """Rolling z-score over the last ``window`` values of each series, kept as state.
 
-    A batch's rows are handled in time order; rows not after the last handled
-    one, or behind the watermark, are dropped. State is at most ``window``
-    numbers per series and is released when the series falls silent for a
-    window's length. The score is scaled by the threshold, as one row has no
-    batch maximum.
+    Rows stand in order of time, then value (ties are all kept); ``seq`` is a
+    row's place in its series. A row inside the watermark may still change the
+    scores after it, so state holds those rows beside the ``window - 1`` closed
+    values before them. In ``update`` mode a batch emits each score from its
+    first new row on, and a later batch's row replaces one of the same (series,
+    ``seq``); in ``append`` mode a row comes out once, when the watermark has
+    passed it. Only nulls and rows behind the watermark are left out. The score
+    is scaled by the threshold, as one row has no batch maximum.
     """
-    keys = list(panel.keys)
-    kinds = [stream.schema[k] for k in keys]
-    out = T.StructType(kinds + [
-        T.StructField(panel.ts, T.TimestampType()), T.StructField("actual", T.DoubleType()),
-        T.StructField("z", T.DoubleType()), T.StructField("anomaly_score", T.DoubleType()),
-        T.StructField("is_anomaly", T.BooleanType()),
+    keys, ts = list(panel.keys), panel.ts
+    out = T.StructType([stream.schema[k] for k in keys] + [
+        T.StructField(ts, T.TimestampType()), T.StructField("seq", T.LongType()), T.StructField("actual", T.DoubleType()),
+        T.StructField("z", T.DoubleType()), T.StructField("anomaly_score", T.DoubleType()), T.StructField("is_anomaly", T.BooleanType()),
     ])
-    held = T.StructType([T.StructField("last", T.LongType()), T.StructField("values", T.ArrayType(T.DoubleType()))])
-    idle_ms = window * panel.step * 1000
+    held = "closed long, mark long, history array<double>, at array<long>, value array<double>"
+    names, eps = ["_us", "_v"], EPS
+
+    def z_scores(series: np.ndarray, wanted: int) -> np.ndarray:
+        """Scores of the last ``wanted`` values, a block of frames at a time."""
+        padded = np.concatenate([np.full(window - 1, np.nan), series])[-(wanted + window - 1):]
+        frames = np.lib.stride_tricks.sliding_window_view(padded, window)
+        parts = [np.zeros(0)]
+        for start in range(0, wanted, 4096):
+            block = frames[start:start + 4096]
+            n = window - np.isnan(block).sum(axis=1)
+            mean = np.nansum(block, axis=1) / n
+            square = np.nansum((block - mean[:, None]) ** 2, axis=1)
+            std = np.where(n > 1, np.sqrt(square / np.maximum(n - 1, 1)), fit_std)
+            parts.append(np.abs(block[:, -1] - mean) / (std + eps))
+        return np.concatenate(parts)
 
     def update(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        last, values = state.get if state.exists else (None, [])
-        values = list(values)
-        mark = state.getCurrentWatermarkMs()
-        rows = pd.concat(list(batches))[["_us", "_v"]].sort_values("_us")
-        made = []
-        for us, x in zip(rows["_us"], rows["_v"]):
-            if (last is not None and us <= last) or us < mark * 1000 or pd.isna(x):
-                continue
-            last = int(us)
-            values = [*values, float(x)][-window:]
-            n = len(values)
-            mean = math.fsum(values) / n
-            std = math.sqrt(math.fsum((v - mean) ** 2 for v in values) / (n - 1)) if n > 1 else fit_std
-            z = abs(x - mean) / (std + EPS)
-            made.append((pd.Timestamp(last, unit="us"), float(x), z, min(z / (threshold + EPS), 1.0), z > threshold))
-        state.update((last, values))
-        if last is not None:
-            state.setTimeoutTimestamp(max(last // 1000, mark) + idle_ms)
-        if made:
-            frame = pd.DataFrame(made, columns=[panel.ts, "actual", "z", "anomaly_score", "is_anomaly"])
+        closed, frontier, history, at, value = state.get if state.exists else (0, None, [], [], [])
+        frames = [] if state.hasTimedOut else [b[names] for b in batches if len(b)]
+        new = pd.concat(frames) if frames else pd.DataFrame(columns=names)
+        new = new[new["_v"].notna() & (new["_us"] >= frontier if frontier is not None else True)]
+        us = np.concatenate([np.asarray(at, dtype=np.int64), new["_us"].to_numpy(dtype=np.int64)])
+        v = np.concatenate([np.asarray(value, dtype=float), new["_v"].to_numpy(dtype=float)])
+        order = np.lexsort((v, us))
+        fresh = (np.arange(len(us)) >= len(at))[order]
+        us, v = us[order], v[order]
+        now = state.getCurrentWatermarkMs()
+        mark = now * 1000 if now > 0 else frontier
+        done = int(np.searchsorted(us, mark, side="left")) if mark is not None else 0
+        low, high = (0, done) if mode == "append" else (int(fresh.argmax()) if fresh.any() else len(us), len(us))
+        if high > low:
+            z = z_scores(np.concatenate([np.asarray(history, dtype=float), v[:high]]), high - low)
+            made = pd.DataFrame({ts: pd.to_datetime(us[low:high], unit="us"), "seq": closed + np.arange(low, high), "actual": v[low:high]})
+            made["z"], made["anomaly_score"], made["is_anomaly"] = z, np.minimum(z / (threshold + eps), 1.0), z > threshold
             for name, part in zip(reversed(keys), reversed(key)):
-                frame.insert(0, name, part)
-            yield frame
+                made.insert(0, name, part)
+            yield made
+        history = [*history, *v[:done].tolist()][-(window - 1):] if window > 1 else []
+        state.update((closed + done, mark, history, us[done:].tolist(), v[done:].tolist()))
+        if mode == "append" and done < len(us):
+            state.setTimeoutTimestamp(int(us[done]) // 1000 + 1)  # the watermark passes the oldest open row
 
-    rows = stream.withColumn("_us", F.unix_micros(panel.ts)).withColumn("_v", F.col(panel.value).cast("double"))
-    return rows.withWatermark(panel.ts, late).groupBy(*keys).applyInPandasWithState(
-        update, out, held, "append", "EventTimeTimeout"
-    )
+    rows = stream.withColumn("_us", F.unix_micros(ts)).withColumn("_v", F.col(panel.value).cast("double"))
+    return rows.withWatermark(ts, late).groupBy(*keys).applyInPandasWithState(update, out, held, mode, "EventTimeTimeout")
 
 
 def latency(stream: DataFrame, ts: str = "created_at", column: str = "latency_ms", length: str = "1 hour", late: str = "2 hours", sla_ms: float = LATENCY_SLA_MS) -> DataFrame:
@@ -141,8 +152,9 @@ def drift_baseline(train: DataFrame, features, bins: int = 10, eps: float = EPS)
     pairs = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in features]
     long = train.select(F.explode(F.array(*pairs)).alias("_p")).select("_p.*").where("value is not null")
     span = long.groupBy("feature").agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"), F.count("value").alias("_n"))
-    rows = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("_c")).join(span, "feature")
-    counts = rows.groupBy("feature", _bin(F.col("value"), bins).alias("bin")).agg(F.sum("_c").alias("_t"))
+    # one row per feature, so its size is bounded by the schema; bins are counted before the shuffle
+    rows = long.join(F.broadcast(span), "feature")
+    counts = rows.groupBy("feature", _bin(F.col("value"), bins).alias("bin")).agg(F.count(F.lit(1)).alias("_t"))
     dense = span.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1)))).join(counts, ["feature", "bin"], "left")
     share = F.coalesce("_t", F.lit(0)) / (F.col("_n") + F.lit(eps)) + F.lit(eps)
     return dense.select("feature", "bin", "_lo", "_hi", share.alias("expected"))
@@ -171,16 +183,27 @@ def drift_from_counts(counts: DataFrame, baseline: DataFrame, eps: float = EPS,
     return out.withColumn("is_drifted", F.col("psi") > threshold)
 
 
-def run_to_table(stream: DataFrame, path: str, mode: str = "append") -> DataFrame:
+def run_to_table(stream: DataFrame, path: str, mode: str = "append", keys=None) -> DataFrame:
     """Process everything available, write it as Parquet under ``path``, and read that back.
 
     Progress is kept beside the table, so a restart goes on where it stopped.
+    With ``keys`` the stream runs in update mode: each micro-batch writes its
+    changed rows to a folder of its own (a repeated batch overwrites it) and the
+    last row of each key is read, windows still open at the end included.
     """
-    spark = stream.sparkSession
-    schema = stream.schema
-    query = (
-        stream.writeStream.outputMode(mode).format("parquet").option("path", f"{path}/table")
-        .option("checkpointLocation", f"{path}/progress").trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    return spark.read.schema(schema).parquet(f"{path}/table")
+    spark, schema = stream.sparkSession, stream.schema
+    table = f"{path}/table"
+    if keys is None:
+        writer = stream.writeStream.outputMode(mode).format("parquet").option("path", table)
+    else:
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{table}/_batch=-1")  # a stream without rows has a table too
+        writer = stream.writeStream.outputMode("update").foreachBatch(
+            lambda rows, batch: rows.write.mode("overwrite").parquet(f"{table}/_batch={batch}")
+        )
+    writer.option("checkpointLocation", f"{path}/progress").trigger(availableNow=True).start().awaitTermination()
+    if keys is None:
+        return spark.read.schema(schema).parquet(table)
+    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("_batch", T.LongType())])).parquet(table)
+    others = [c for c in stream.columns if c not in keys]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*others), "_batch").alias("_last"))
+    return last.select(*[F.col(f"_last.{c}").alias(c) if c in others else F.col(c) for c in stream.columns])
