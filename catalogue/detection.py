@@ -119,15 +119,14 @@ def anomaly_file(spark, d):
 
 def forest_rows(spark, d):
     """Feature matrix by split, written once."""
-    matrix = build_features(split(spark, d), GRID)
+    matrix = build_features(split(spark, d), GRID, carry_history=True)
     return materialise(matrix, "forest"), feature_names(matrix, HOURLY)
 
 
 @query("isolation_forest")
 def isolation_forest(spark, d):
     matrix, names = forest_rows(spark, d)
-    forest = IsolationForest(names).fit(matrix.where("split = 'train'"))
-    return forest.predict(matrix.where("split = 'train'"))
+    return IsolationForest(names).fit(matrix.where("split = 'train'")).predict(matrix)
 
 
 @query("isolation_forest_scored")
@@ -142,11 +141,11 @@ def forest_scored(spark, d):
 
 @query("ensemble_full")
 def ensemble_full(spark, d):
-    """Forest, rolling z and residual detectors with a majority vote, fitted on the same rows."""
+    """Forest, rolling z and residual detectors with a majority vote, fitted on the training rows, voting on all."""
     matrix, names = forest_rows(spark, d)
     train = matrix.where("split = 'train'")
     forest = IsolationForest(names).fit(train)
-    p = train.withColumn("actual", F.col("demand")).withColumn("predicted", F.col("demand_lag_24h"))
+    p = matrix.withColumn("actual", F.col("demand")).withColumn("predicted", F.col("demand_lag_24h"))
     rows = a.rolling_z(forest.normalised(p), a.fit_rolling_z(train))
-    rows = a.residual_scores(rows, a.fit_residuals(p))
+    rows = a.residual_scores(rows, a.fit_residuals(p.where("split = 'train'")))
     return a.vote(rows, ("forest_score", "z_score", "residual_score"), ("forest_flag", "z_flag", "residual_flag"))

@@ -155,11 +155,11 @@ def rolling_6h_long(spark, d):
 
 # ------------------------------------------------------------ autocorrelation, decomposition
 
-view("tail5k", """tail5k AS (SELECT series, demand - avg(demand) OVER (PARTITION BY series) AS x, row_number() OVER (PARTITION BY series ORDER BY pos) AS i,
-  count(*) OVER (PARTITION BY series) AS m FROM g WHERE pos >= n - 5000)""", "g")
+view("centred", """centred AS (SELECT series, demand - avg(demand) OVER (PARTITION BY series) AS x, row_number() OVER (PARTITION BY series ORDER BY pos) AS i,
+  count(*) OVER (PARTITION BY series) AS m FROM g)""", "g")
 view("acf", """acf AS (SELECT a.series, lag, any_value(a.m) AS m, coalesce(sum(a.x * b.x), 0) / any_value(ss) AS acf
-  FROM tail5k a CROSS JOIN (SELECT unnest(range(73)) AS lag) LEFT JOIN tail5k b ON a.series = b.series AND b.i = a.i - lag
-  JOIN (SELECT series, sum(x * x) AS ss FROM tail5k GROUP BY 1) t ON t.series = a.series GROUP BY 1, 2)""", "tail5k")
+  FROM centred a CROSS JOIN (SELECT unnest(range(73)) AS lag) LEFT JOIN centred b ON a.series = b.series AND b.i = a.i - lag
+  JOIN (SELECT series, sum(x * x) AS ss FROM centred GROUP BY 1) t ON t.series = a.series GROUP BY 1, 2)""", "centred")
 
 
 @query("acf72", sql(f"""SELECT series, lag, {r('acf')} AS acf, {r('acf - half')} AS lower, {r('acf + half')} AS upper FROM (

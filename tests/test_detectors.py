@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,6 +90,16 @@ def test_forest_samples_are_whole_and_distinct(spark):
     assert [r["count"] for r in tiny] == [50] * 3
 
 
+def test_tree_samples_come_from_all_rows(spark):
+    """On more rows than trees and samples could hold, trees share almost none."""
+    n = 60_000
+    rows = spark.range(n).selectExpr("'a' as series", "timestamp_seconds(id * 3600) as timestamp", "cast(id as double) as x")
+    picks = tree_samples(rows, ["x"], trees=100, sample=256).selectExpr("tree", "x[0] as x").toPandas()
+    assert len(picks) == 100 * 256 and (picks.groupby("tree").size() == 256).all() and not picks.duplicated().any()
+    # 25,600 draws with replacement between trees hit n * (1 - exp(-25,600 / n)) rows
+    assert picks["x"].nunique() == pytest.approx(n * (1 - np.exp(-25_600 / n)), rel=0.02)
+
+
 def test_forest_save_and_load(spark, tmp_path):
     df = forest_frame(spark)
     model = IsolationForest(["x", "y"], trees=10).fit(df)

@@ -118,6 +118,22 @@ def test_sequence_model_learns_a_cycle(spark):
         SequenceForecaster().predict(df)
 
 
+def test_acf_reads_the_whole_series(spark):
+    """More rows than several chunks hold, the first half louder; and the last rows alone on demand."""
+    rng = np.random.default_rng(5)
+    x = np.cumsum(rng.normal(size=7000)) * np.where(np.arange(7000) < 3500, 3.0, 1.0)
+
+    def plain(v, k):
+        d = v - v.mean()
+        return float((d[k:] * d[:len(d) - k]).sum() / (d * d).sum())
+
+    df = series(spark, list(map(float, x)))
+    got = {r.lag: r.acf for r in explore.acf(df, lags=12).collect()}
+    assert got == pytest.approx({k: plain(x, k) for k in range(13)}, abs=1e-9)
+    got = {r.lag: r.acf for r in explore.acf(df, lags=12, sample=3000).collect()}
+    assert got == pytest.approx({k: plain(x[-3000:], k) for k in range(13)}, abs=1e-9)
+
+
 def test_pacf_of_an_autoregression(spark):
     rng, x = random.Random(0), [0.0]
     for _ in range(3000):

@@ -195,21 +195,24 @@ def rolling_buckets(df: DataFrame, panel: Panel = HOURLY, unit: str = "6 hours",
 
 # ------------------------------------------------------------ autocorrelation
 
-def _acf_table(df: DataFrame, panel: Panel, lags: int, sample: int) -> DataFrame:
+def _acf_table(df: DataFrame, panel: Panel, lags: int, sample: int | None) -> DataFrame:
     keys = list(panel.keys)
-    rows = tail(df, panel, sample)
-    whole = Window.partitionBy(*keys)
-    rows = rows.withColumn("_d", F.col(panel.value) - F.avg(panel.value).over(whole))
-    order = whole.orderBy("pos")
-    rows = rows.select(*keys, "_d", *[F.lag("_d", k).over(order).alias(f"_l{k}") for k in range(1, lags + 1)])
+    valued = df.where(F.col(panel.value).isNotNull())
+    rows = tail(valued, panel, sample) if sample else with_position(valued, panel)
+    means = rows.groupBy(*keys).agg(F.avg(panel.value).alias("_mean"))
+    rows = attach(rows, means, keys, panel.ts).select(*keys, "pos", (F.col(panel.value) - F.col("_mean")).alias("_d"))
+    by_rank = panel.on(ts="pos", full=True)
+    w = chunk_window(by_rank)
+    rows = chunked(rows, by_rank, lags).select("*", *[F.lag("_d", k).over(w).alias(f"_l{k}") for k in range(1, lags + 1)])
+    rows = own_rows(rows)
     products = [F.sum(F.col("_d") * F.col("_d" if k == 0 else f"_l{k}")).alias(f"_p{k}") for k in range(lags + 1)]
     sums = rows.groupBy(*keys).agg(F.count("_d").alias("n"), *products)
     ratios = [F.try_divide(F.coalesce(F.col(f"_p{k}"), F.lit(0.0)), F.col("_p0")) for k in range(lags + 1)]
     return sums.where(F.col("n") > lags).select(*keys, "n", F.array(*ratios).alias("acf"))
 
 
-def acf(df: DataFrame, panel: Panel = HOURLY, lags: int = 72, sample: int = 5000) -> DataFrame:
-    """Biased autocorrelation of the last ``sample`` values, with 95 % Bartlett bounds."""
+def acf(df: DataFrame, panel: Panel = HOURLY, lags: int = 72, sample: int | None = None) -> DataFrame:
+    """Biased autocorrelation of all values of a series, or of its last ``sample``, with 95 % Bartlett bounds."""
     keys = list(panel.keys)
     long = _acf_table(df, panel, lags, sample).select(*keys, "n", F.posexplode("acf").alias("lag", "acf"))
     before = Window.partitionBy(*keys).orderBy("lag").rowsBetween(Window.unboundedPreceding, -1)
@@ -232,7 +235,7 @@ def _durbin(r: np.ndarray) -> list[float]:
     return out
 
 
-def pacf(df: DataFrame, panel: Panel = HOURLY, lags: int = 72, sample: int = 5000) -> DataFrame:
+def pacf(df: DataFrame, panel: Panel = HOURLY, lags: int = 72, sample: int | None = None) -> DataFrame:
     """Partial autocorrelation (Yule-Walker on the biased autocorrelation), with 95 % bounds."""
 
     @F.pandas_udf("array<double>")

@@ -1,8 +1,8 @@
 """Isolation forest: trees from hash-picked samples, scoring in Arrow batches.
 
-Fitting never shuffles the data: one scan keeps a bounded pool of rows chosen
-by a hash of (series, time), each tree takes its sample from the pool by a
-second hash, and trees are built one per group of at most ``sample`` rows. The
+Fitting never shuffles the data: one scan hashes each row with (series, time)
+once per tree and keeps a tree's few candidates, of which the lowest hashes are
+its sample; trees are built one per group of at most ``sample`` rows. The
 same rows are chosen under any partitioning. The fitted forest is bounded by
 trees x (2 x sample - 1) nodes, whatever the data size.
 """
@@ -45,19 +45,19 @@ def _unit_hash(*columns):
 
 
 def tree_samples(df: DataFrame, features, panel: Panel = HOURLY, trees: int = FOREST_TREES, sample: int = FOREST_SAMPLE, seed: int = 42) -> DataFrame:
-    """``min(sample, n)`` rows without replacement for every tree: (tree, at, x)."""
+    """``min(sample, n)`` rows without replacement for every tree, drawn from all rows: (tree, at, x).
+
+    A row is a candidate of a tree when its hash with the tree's number is under
+    four times the sample over the row count; the lowest hashes of a tree win.
+    So about ``4 * trees * sample`` candidates are shuffled, whatever n is.
+    """
     row_id = [*panel.keys, panel.ts]
-    pool_size = max(64 * sample, 16_384)
-    x = F.array(*[F.col(f).cast("double") for f in features])
     total = df.select(F.count(F.lit(1)).alias("_total"))
+    x = F.array(*[F.col(f).cast("double") for f in features])
     rows = attach(df.select(F.xxhash64(*row_id).alias("_id"), x.alias("x")), total, [], [])
-    pool = rows.withColumn("_p", F.least(F.lit(1.0), F.lit(float(pool_size)) / F.col("_total"))).where(
-        _unit_hash("_id", F.lit(seed)) < F.col("_p")
-    )
-    # inside the pool, four times the sample are candidates of a tree; the lowest hashes win
-    odds = F.least(F.lit(1.0), F.lit(4.0 * sample) / F.least(F.col("_total").cast("double"), F.lit(float(pool_size))))
+    odds = F.least(F.lit(1.0), F.lit(4.0 * sample) / F.col("_total"))
     hashes = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(t.alias("tree"), _unit_hash("_id", t, F.lit(seed)).alias("u")))
-    picks = pool.withColumn("_odds", odds).select("_id", "x", F.explode(F.filter(hashes, lambda s: s["u"] < F.col("_odds"))).alias("s"))
+    picks = rows.withColumn("_odds", odds).select("_id", "x", F.explode(F.filter(hashes, lambda s: s["u"] < F.col("_odds"))).alias("s"))
     order = Window.partitionBy("tree").orderBy("u", "_id")
     picks = picks.select("s.tree", "s.u", "_id", "x").withColumn("at", F.row_number().over(order))
     return picks.where(F.col("at") <= sample).select("tree", "at", "x")
