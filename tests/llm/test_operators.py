@@ -169,3 +169,18 @@ def test_surrogates(spark, odd, empty):
     card = [int(c) for c in reversed(got[3].text)]
     assert sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(card)) % 10 == 0
     assert surrogates.replace(odd, "k").count() == 9 and surrogates.replace(empty, "k").count() == 0
+
+
+def test_surrogates_leave_no_part_of_a_secret(spark):
+    rng = random.Random(9)
+    draw = lambda n: "".join(rng.choice("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789") for _ in range(n))
+    long, parts, upper, padded = draw(300), [draw(20) for _ in range(3)], "9233A8EC" * 4, draw(30)
+    texts = [(1, f'TOKEN = "{upper}" Password: {draw(9)}x API_KEY={parts[0]}'), (2, f"secret={long} end"), (3, f"token={'.'.join(parts)}. Next"), (4, f"pwd: {padded}~{padded}== end")]
+    got = by_id(surrogates.replace(spark.createDataFrame(texts, "doc_id long, text string"), "k"))
+    assert [got[i].n_entities for i in (1, 2, 3, 4)] == [3, 1, 1, 1]
+    for i, text in texts:
+        assert len(got[i].text) == len(text)
+    for i, secret in ((1, upper), (1, parts[0]), (2, long), *((3, p) for p in parts), (4, padded)):
+        assert all(secret[at : at + 8] not in got[i].text for at in range(len(secret) - 7))
+    assert got[3].text.endswith(". Next") and got[4].text.endswith("== end")
+    assert set(got[1].text.split('"')[1]) <= set("0123456789ABCDEF")

@@ -1,7 +1,7 @@
 """Keyed surrogates for personal data, in DataFrame functions only.
 
 E-mail addresses, phone numbers, IPv4 addresses, payment cards, IBANs, US social security numbers, secrets after words such as
-``password=`` and names after a title are found by patterns, and each is replaced by one of its own type: same length and signs,
+``password=`` in any case, whatever their length, and names after a title are found by patterns, and each is replaced by one of its own type: same length and signs,
 digit for digit, letter for letter of the same case and script, hexadecimal staying hexadecimal, a card number with a valid
 check digit, a first name of the gender the title tells. A replacement depends on the secret key, the type and the entity
 without its formatting, so one entity has one surrogate everywhere, however it is written.
@@ -36,12 +36,13 @@ SCRIPTS = [
 ]
 
 _TITLE = rf"\b(?:{'|'.join(FEMALE_TITLES + MALE_TITLES + OTHER_TITLES)})\.? "
-_SECRET = r"(?:password|passwd|pwd|secret|token|api_key|apikey|api-key)[ ]{0,2}[=:][ ]{0,2}[\"']?"
+_SECRET = r"(?i:password|passwd|pwd|secret|token|api_key|apikey|api-key)[ ]{0,2}[=:][ ]{0,2}[\"']?"
 _WORD = r"A-Za-z0-9\u00C0-\u024F\u0370-\u03FF\u0400-\u04FF"
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 # What begins a match is cheap to refuse at any other place, so a text costs about one step for each character and pattern.
 PATTERNS = {
-    "secret": _SECRET + r"[A-Za-z0-9_/+-]{8,200}",
+    # a dot is part of a secret where more of it follows
+    "secret": _SECRET + r"[A-Za-z0-9_/+=~.-]{7,}[A-Za-z0-9_/+=~-]",
     "name": _TITLE + r"\p{Lu}\p{L}{1,30}(?: \p{Lu}\p{L}{1,30})?",
     "email": rf"(?<![{_WORD}._%+-])[{_WORD}._%+-]{{1,64}}+@[{_WORD}-]{{1,63}}(?:\.[{_WORD}-]{{1,63}}){{1,6}}",
     "iban": r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
@@ -89,7 +90,7 @@ def pick(seed: Column, place: Column, n) -> Column:
 
 def scrambled(value: Column, seed: Column) -> Column:
     """Another value of the same form: each digit and letter by the seed and its place; all else stays."""
-    hexadecimal = value.rlike("^[0-9a-f]*$") & value.rlike("[a-f]")
+    hexadecimal = value.rlike("^([0-9a-f]*|[0-9A-F]*)$") & value.rlike("[A-Fa-f]")
 
     def one(c, i):
         out = c
@@ -97,7 +98,8 @@ def scrambled(value: Column, seed: Column) -> Column:
             low = F.substring(F.lit(letters), pick(seed, i, len(letters)) + 1, F.lit(1))
             out = F.when(F.lower(c).rlike(pattern), F.when(c == F.lower(c), low).otherwise(F.upper(low))).otherwise(out)
         out = F.when(c.rlike("[0-9]"), pick(seed, i, 10).cast("string")).otherwise(out)
-        return F.when(hexadecimal, F.substring(F.lit("0123456789abcdef"), pick(seed, i, 16) + 1, F.lit(1))).otherwise(out)
+        digit = F.substring(F.lit("0123456789abcdef"), pick(seed, i, 16) + 1, F.lit(1))
+        return F.when(hexadecimal, F.when(value.rlike("[A-F]"), F.upper(digit)).otherwise(digit)).otherwise(out)
 
     return F.array_join(F.transform(F.split(value, ""), one), "")
 
