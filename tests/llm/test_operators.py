@@ -184,3 +184,14 @@ def test_surrogates_leave_no_part_of_a_secret(spark):
         assert all(secret[at : at + 8] not in got[i].text for at in range(len(secret) - 7))
     assert got[3].text.endswith(". Next") and got[4].text.endswith("== end")
     assert set(got[1].text.split('"')[1]) <= set("0123456789ABCDEF")
+
+
+def test_embeddings_of_one_tight_group(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=16) + rng.normal(size=(600, 16)) * 0.15
+    y = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = ((y @ y.T) >= 0.9).sum(1) - 1
+    assert (y @ y.T).min() > 0.5 and want.min() > 0
+    got = {r.vec_id: r for r in embeddings.near_vectors(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()}
+    assert [got[i].n_links for i in range(600)] == want.tolist() and all(r.component_id == 0 for r in got.values())
+    assert [got[i].kept for i in range(2)] == [True, False]

@@ -6,7 +6,8 @@ entries in the inverted lists are all pairs of these, so two vectors meet where
 dropped. A pair that shares more is looked at in one list only, that of its two smallest shared pivots. Long lists are cut
 into blocks of about ``BLOCK``, each pair of blocks is one matrix product, and a block returns sums and one link per vector to the
 smallest of its component there: pairs are counted, never listed. Cosines are in double precision, so no link below the threshold is
-reported; recall is that of the index (measured in the tests and README).
+reported; recall is that of the index (measured in the tests and README). Up to ``2 * NEAREST - 2`` pivots any two vectors share two, so
+that all pairs are compared; where the whole sample is as similar as ``APART`` to one pivot, all vectors are in one list.
 
 Equal vectors are one node with a count. Vectors that are null, empty, zero, hold null or non-finite components, or have
 another length than most, link with nothing. A null id keeps its row. Rows of one id are counted each. Other columns are ignored.
@@ -143,22 +144,20 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, n_pivots: int = PIV
     pivots /= np.abs(pivots).max(axis=1, keepdims=True)
     pivots /= np.linalg.norm(pivots, axis=1, keepdims=True)
     pivots = apart(pivots, n_pivots)
-
-    if len(pivots) > 1:
-        listed = materialise(entries(nodes, pivots, nearest, dim), "entries")
-        lists = listed.groupBy("p", "q").agg(F.count("*").alias("size")).where("size > 1")
-        listed = listed.join(lists, ["p", "q"]).join(nodes.select("node", "m", "vector"), "node")
-        cut = F.ceil(F.col("size") / block).cast("int")
-        listed = listed.withColumn("cut", cut).withColumn("block", F.pmod(F.xxhash64(F.lit(5), "node"), F.col("cut")).cast("int"))
-        listed = listed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)))
-        listed = listed.withColumns({"bi": F.least("block", "other"), "bj": F.greatest("block", "other")})
-        listed = listed.repartition("p", "q", "bi", "bj").sortWithinPartitions("p", "q", "bi", "bj")
-        found = materialise(compare(listed, dim, cosine), "block-links")
-        links = found.groupBy("node").agg(F.sum("links").alias("links"))
-        groups = components(found.where("node != least").select(F.col("node").alias("a"), F.col("least").alias("b")))
-    else:
-        links = nodes.select("node", F.lit(0).cast("long").alias("links")).limit(0)
-        groups = nodes.select("node", F.col("node").alias("component")).limit(0)
+    if len(pivots) == 1:  # taken twice, so that all vectors are in the one list of the pair
+        pivots = np.repeat(pivots, 2, axis=0)
+
+    listed = materialise(entries(nodes, pivots, nearest, dim), "entries")
+    lists = listed.groupBy("p", "q").agg(F.count("*").alias("size")).where("size > 1")
+    listed = listed.join(lists, ["p", "q"]).join(nodes.select("node", "m", "vector"), "node")
+    cut = F.ceil(F.col("size") / block).cast("int")
+    listed = listed.withColumn("cut", cut).withColumn("block", F.pmod(F.xxhash64(F.lit(5), "node"), F.col("cut")).cast("int"))
+    listed = listed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)))
+    listed = listed.withColumns({"bi": F.least("block", "other"), "bj": F.greatest("block", "other")})
+    listed = listed.repartition("p", "q", "bi", "bj").sortWithinPartitions("p", "q", "bi", "bj")
+    found = materialise(compare(listed, dim, cosine), "block-links")
+    links = found.groupBy("node").agg(F.sum("links").alias("links"))
+    groups = components(found.where("node != least").select(F.col("node").alias("a"), F.col("least").alias("b")))
 
     placed = nodes.select("node", "first", "m").join(links, "node", "left").join(groups, "node", "left")
     placed = materialise(placed.select("node", "first", "m", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "node").alias("root")), "placed")
