@@ -5,7 +5,9 @@ from __future__ import annotations
 import hashlib
 import random
 import zlib
+from collections import Counter
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -195,3 +197,13 @@ def test_embeddings_of_one_tight_group(spark):
     got = {r.vec_id: r for r in embeddings.near_vectors(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")).collect()}
     assert [got[i].n_links for i in range(600)] == want.tolist() and all(r.component_id == 0 for r in got.values())
     assert [got[i].kept for i in range(2)] == [True, False]
+
+
+def test_pipeline_mixing_keeps_documents_that_are_not_toxic(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    toxic = {r.doc_id for r in labels.where("toxic = 1").collect()}
+    good = docs.join(labels.where("quality = 1"), "doc_id", "left_semi").select(*corpus_pipeline.DOCUMENT)
+    before, after = (Counter(r.doc_id for r in d.select("doc_id").collect()) for d in (good, corpus_pipeline.mixed(spark, good, SF)))
+    assert all(after[i] >= n for i, n in before.items() if i not in toxic) and toxic & set(before)
+    share = lambda c: sum(n for i, n in c.items() if i in toxic) / sum(c.values())
+    assert share(after) <= share(before)

@@ -114,18 +114,22 @@ def fit(members: DataFrame, target: np.ndarray, rounds: int = 40, tolerance: flo
     return steps
 
 
-def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: float = 1.0, rows: int = TRAIN_ROWS) -> tuple[DataFrame, list[str]]:
+def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: float = 1.0, rows: int = TRAIN_ROWS, relative: bool = False) -> tuple[DataFrame, list[str]]:
     """``doc_id``, ``tokens``, ``p0`` ..., ``rate`` per row, and the domain of each posterior.
 
     ``weights`` gives each domain's share of the result (a domain not named: 0), ``budget`` the result's tokens as a multiple of
-    the input's. ``labelled`` has doc_id and domain.
+    the input's. With ``relative`` a weight is a multiple of the share that ``docs`` themselves are expected to have of the domain (a
+    domain not named: 1). ``labelled`` has doc_id and domain.
     """
     ready(docs.sparkSession)
     model = learn(docs, labelled, rows)
     names = model[0]
     members = materialise(memberships(docs, model), "memberships")
     whole = members.agg(F.sum("tokens")).first()[0] or 0.0
-    share = np.array([max(0.0, weights.get(x, 0.0)) for x in names])
+    share = np.array([max(0.0, weights.get(x, float(relative))) for x in names])
+    if relative:
+        expected = members.agg(*[F.sum(F.col("tokens") * F.col(f"p{k}")).alias(f"e{k}") for k in range(len(names))]).first()
+        share = share * np.array([x or 0.0 for x in expected])
     share = share / share.sum() if share.sum() > 0 else np.full(len(names), 1 / len(names))
     steps = fit(members, share * whole * budget)
     return members.withColumn("rate", rate_after(steps, len(names))["r"]), names
@@ -146,9 +150,38 @@ def op9_mixing(spark, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("tokens").cast("long").alias("tokens"), *[F.col(f"p{k}").alias(f"p_{n}") for k, n in enumerate(names)], "rate")
 
 
-def resample(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: float = 1.0, rows: int = TRAIN_ROWS) -> DataFrame:
-    """The documents, each as often as its rate says: the whole part always, once more by a hash of the id below the rest."""
-    out, _ = mix(docs, labelled, weights, budget, rows)
+MOST_GROWTH = 2.0
+
+
+def whole(out: DataFrame, names: list[str], labelled: DataFrame, lower: set[str]) -> DataFrame:
+    """``doc_id`` and ``rate`` per id: rates scaled up by the least one of the documents that are to stay, so that each has 1 at least.
+
+    Those are all but the ones that are most probably of a domain in ``lower`` and not labelled otherwise. The result grows by at most
+    ``MOST_GROWTH``; rates that are still under 1 then are set to 1.
+    """
+    top = F.greatest(*[F.col(f"p{k}") for k in range(len(names))]) if len(names) > 1 else F.col("p0")
+    less = F.lit(False)
+    for k, name in enumerate(names):
+        if name in lower:
+            less = less | (F.col(f"p{k}") == top)
+    told = labelled.where("domain is not null and doc_id is not null").groupBy("doc_id").agg(F.max(F.col("domain").isin(*lower)).alias("_low"))
+    ids = out.select("doc_id", "rate", less.alias("less")).groupBy("doc_id").agg(F.max("rate").alias("rate"), F.min("less").alias("less"))
+    ids = ids.join(told.hint("merge"), "doc_id", "left").select("doc_id", "rate", (~F.coalesce("_low", "less")).alias("stays"))
+    ids = materialise(ids, "rates")
+    least = ids.where("stays").agg(F.min("rate")).first()[0]
+    growth = 1.0 if least is None else min(MOST_GROWTH, 1 / max(least, 1 / MOST_GROWTH))
+    rate = F.col("rate") * growth
+    return ids.select("doc_id", F.when(F.col("stays"), F.greatest(F.lit(1.0), rate)).otherwise(rate).alias("rate"))
+
+
+def resample(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: float = 1.0, rows: int = TRAIN_ROWS, relative: bool = False) -> DataFrame:
+    """The documents, each as often as its rate says: the whole part always, once more by a hash of the id below the rest.
+
+    With ``relative`` only documents of domains whose weight is under 1 can leave: the budget is raised until all others have rate 1.
+    """
+    out, names = mix(docs, labelled, weights, budget, rows, relative)
+    if relative:
+        out = whole(out, names, labelled, {x for x, w in weights.items() if w < 1})
     chance = F.pmod(F.xxhash64(F.lit(23), F.col("doc_id")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     copies = out.groupBy("doc_id").agg(F.max("rate").alias("rate")).select(F.col("doc_id").alias("_id"), F.floor(F.col("rate") + chance).cast("int").alias("_copies"))
     copies = materialise(copies.where("_copies > 0"), "copies")
