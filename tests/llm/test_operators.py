@@ -199,6 +199,15 @@ def test_embeddings_of_one_tight_group(spark):
     assert [got[i].kept for i in range(2)] == [True, False]
 
 
+def test_one_of_each_keeps_rows_without_id_and_other_texts_of_an_id(spark):
+    say = lambda k: " ".join(f"{k}{i}" for i in range(40))
+    rows = [(None, say("a")), (None, say("b")), (None, say("b") + " more"), (None, say("c")), (1, say("c") + " more"), (2, say("d")), (2, say("e")), (2, say("e")), (None, ""), (None, " ")]
+    got = sorted((r.doc_id or 0, r.text) for r in jaccard.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    b = [t for i, t in got if t.startswith("b0")]
+    assert len(b) == 1 and b[0] in (say("b"), say("b") + " more")
+    assert got == sorted([(0, ""), (0, " "), (0, say("a")), (0, b[0]), (1, say("c") + " more"), (2, say("d")), (2, say("e"))])
+
+
 def test_pipeline_mixing_keeps_documents_that_are_not_toxic(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
     toxic = {r.doc_id for r in labels.where("toxic = 1").collect()}

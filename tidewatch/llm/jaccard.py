@@ -73,8 +73,8 @@ def differ_at_least(x: bytes, y: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
-def describe(docs: DataFrame, width: int = WIDTH, salt: int = 0) -> tuple[DataFrame, np.ndarray]:
-    """``doc_id``, ``n``, ``sid`` (a hash of the set), ``check`` (a second one), ``marks`` per row, and each counter's level."""
+def describe(docs: DataFrame, width: int = WIDTH, salt: int = 0, keys: tuple[str, ...] = ("doc_id",)) -> tuple[DataFrame, np.ndarray]:
+    """``keys``, ``n``, ``sid`` (a hash of the set), ``check`` (a second one), ``marks`` per row, and each counter's level."""
     def run(batches):
         counts = np.zeros(1 << BITS, np.int32)
         for b in blocks(batches):
@@ -89,18 +89,19 @@ def describe(docs: DataFrame, width: int = WIDTH, salt: int = 0) -> tuple[DataFr
                 run_ = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(flat ^ mix(np.array([seed], np.uint64))), dtype=np.uint64)))
                 ids.append(mix(run_[at[1:]] - run_[at[:-1]] + n.astype(np.uint64)).view(np.int64))
             none = pa.nulls(len(n))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(ids[0]), pa.array(ids[1]), pa.array(marks, pa.binary()), none.cast(pa.int32()), none.cast(pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keys), pa.array(n.astype(np.int64)), pa.array(ids[0]), pa.array(ids[1]), pa.array(marks, pa.binary()), none.cast(pa.int32()), none.cast(pa.binary())], names)
         if counts.any():
             parts = counts.reshape(-1, 1 << PART)
             none = pa.nulls(len(parts))
-            yield pa.RecordBatch.from_arrays([none.cast(kind), none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.binary()), pa.array(np.arange(len(parts), dtype=np.int32)), pa.array([p.tobytes() for p in parts], pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([*(none.cast(k) for k in kinds), none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.binary()), pa.array(np.arange(len(parts), dtype=np.int32)), pa.array([p.tobytes() for p in parts], pa.binary())], names)
 
     from pyspark.sql.pandas.types import to_arrow_type
 
-    names = ["doc_id", "n", "sid", "check", "marks", "part", "counts"]
-    sql = docs.schema["doc_id"].dataType
-    kind = to_arrow_type(sql)
-    both = docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {sql.simpleString()}, n long, sid long, check long, marks binary, part int, counts binary")
+    names = [*keys, "n", "sid", "check", "marks", "part", "counts"]
+    types = [docs.schema[c].dataType for c in keys]
+    kinds = [to_arrow_type(t) for t in types]
+    told = ", ".join(f"{c} {t.simpleString()}" for c, t in zip(keys, types, strict=True))
+    both = docs.select(*keys, F.col("text").cast("string").alias("text")).mapInArrow(run, f"{told}, n long, sid long, check long, marks binary, part int, counts binary")
     both = materialise(both, "shingle-sets")
 
     def summed(batches):
@@ -118,7 +119,7 @@ def describe(docs: DataFrame, width: int = WIDTH, salt: int = 0) -> tuple[DataFr
     levels = np.zeros((parts, 1 << PART), np.uint8)
     for r in got:
         levels[r.part] = np.frombuffer(r.level, np.uint8)
-    return both.where("part is null").select("doc_id", "n", "sid", "check", "marks"), levels.reshape(-1)
+    return both.where("part is null").select(*keys, "n", "sid", "check", "marks"), levels.reshape(-1)
 
 
 def token_lists(docs: DataFrame, levels, width: int, percent: int, salt: int) -> DataFrame:
@@ -245,12 +246,12 @@ def linked(docs: DataFrame, base: DataFrame, pairs: DataFrame, levels, width: in
     return materialise(compared(pairs, tokens_of(docs, pairs, width, salt), similar).select("a", "b").distinct(), "links")
 
 
-def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id`` per row; similar are sets with 100 * both >= ``percent`` * either."""
+def rooted(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``keys``, ``n``, ``root`` (the set that names the component) per row; similar are sets with 100 * both >= ``percent`` * either."""
     spark = ready(docs.sparkSession)
     salt = 0
     while True:
-        base, levels = describe(docs, width, salt)
+        base, levels = describe(docs, width, salt, keys)
         if not base.groupBy("sid").agg((F.min("check") != F.max("check")).alias("bad")).where("bad").limit(1).count():
             break
         salt += 7  # two sets with one id: hash anew
@@ -294,23 +295,35 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
 
     if groups is None:
         groups = base.select(F.col("sid").alias("node"), F.col("sid").alias("component")).limit(0)
-    rooted = base.join(groups.withColumnRenamed("node", "sid"), "sid", "left")
-    rooted = materialise(rooted.select("doc_id", "n", F.coalesce("component", "sid").alias("root")), "rooted")
-    least = rooted.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    out = rooted.where("n > 0").join(least, "root").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return out.unionByName(rooted.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    rows = base.join(groups.withColumnRenamed("node", "sid"), "sid", "left")
+    return materialise(rows.select(*keys, "n", F.coalesce("component", "sid").alias("root")), "rooted")
+
+
+def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``component_id`` per row; similar are sets with 100 * both >= ``percent`` * either."""
+    rows = rooted(docs, width, percent)
+    least = rows.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    out = rows.where("n > 0").join(least, "root").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return out.unionByName(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
 def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """The documents whose id is their component's; of repeated rows of that id one stays."""
-    groups = near_duplicates(docs.select("doc_id", "text"), width, percent).where("doc_id <=> component_id")
-    keep = materialise(groups.groupBy("doc_id").agg(F.count("*").alias("_n")).withColumnRenamed("doc_id", "_keep"), "kept")
+    """One document of each component, that with the smallest id (a null id only where all are null); of equal rows of one id one stays.
+
+    Texts without words are in no component and stay, each once for an id and text.
+    """
+    key = F.unhex(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"), 256))
+    rows = rooted(docs.select("doc_id", "text", key.alias("_sha")), width, percent, ("doc_id", "_sha"))
+    rows = rows.groupBy("root", "doc_id", "_sha").agg(F.max("n").alias("n"), F.count("*").alias("_n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("_keep"), "_sha", "_n")).alias("one")
+    keep = rows.where("n > 0").groupBy("root").agg(first).select("one._keep", "one._sha", "one._n")
+    keep = materialise(keep.unionByName(rows.where("n = 0").select(F.col("doc_id").alias("_keep"), "_sha", "_n")), "kept")
     # the kept ids grow with the documents: joined by sorting at every size
-    found = docs.join(keep.hint("merge"), docs["doc_id"].eqNullSafe(F.col("_keep")))
-    cols = [docs[c] for c in docs.columns]
+    found = docs.withColumn("_text_sha", key).join(keep.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_keep")) & (F.col("_text_sha") == F.col("_sha")))
+    cols = [F.col(f"`{c}`") for c in docs.columns]
     if keep.where("_n > 1").limit(1).count() == 0:
         return found.select(*cols)
-    return found.where("_n = 1").select(*cols).unionByName(found.where("_n > 1").dropDuplicates(["_keep"]).select(*cols))
+    return found.where("_n = 1").select(*cols).unionByName(found.where("_n > 1").dropDuplicates(["_keep", "_sha"]).select(*cols))
 
 
 def op10_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
