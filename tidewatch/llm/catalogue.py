@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from tidewatch.llm import embeddings, exact, jaccard, language, mixing, packing, quality, suffix, surrogates, toxicity
+from tidewatch.llm import (
+    embeddings, exact, jaccard, language, mixing, packing, periods, quality, subwords, suffix, surrogates, toxicity, whitening,
+)
 
 QUERIES = {
     "op1_pivot_permutation": embeddings.op1_pivot_permutation,
@@ -15,5 +17,8 @@ QUERIES = {
     "op8_packing": packing.op8_packing,
     "op9_mixing": mixing.op9_mixing,
     "op10_ngram_jaccard": jaccard.op10_ngram_jaccard,
+    "op11_periodic_runs": periods.op11_periodic_runs,
+    "op12_subwords": subwords.op12_subwords,
+    "op13_whitening": whitening.op13_whitening,
 }
 ORACLES = {"op4_exact_dedup": exact.ORACLE, "op10_ngram_jaccard": jaccard.ORACLE}
