@@ -64,15 +64,15 @@ def test_wrong_names_raise(spark):
         c.scale(df, None)
 
 
-@pytest.mark.parametrize("accuracy", [10, 50, 10_000])
-def test_quantiles_are_exact_beyond_the_sketch(spark, accuracy):
-    """A coarse sketch only widens the brackets; the result stays exact, heavy values included."""
+@pytest.mark.parametrize("accuracy, small", [(10, 40), (50, 1), (10_000, 16_384)])
+def test_quantiles_are_exact_beyond_the_sketch(spark, accuracy, small):
+    """A coarse sketch only costs rounds; the result stays exact, heavy values included."""
     import random
 
     rng = random.Random(1)
     rows = [("a", rng.expovariate(0.01)) for _ in range(4000)] + [("a", 5.0)] * 2000 + [("b", float(i)) for i in range(11)]
     df = spark.createDataFrame(rows, "k string, v double")
-    got = {r.k: r for r in exact_quantiles(df, ["k"], "v", {"p0": 0.0, "q1": 0.25, "q2": 0.5, "q9": 0.9, "p100": 1.0}, accuracy).collect()}
+    got = {r.k: r for r in exact_quantiles(df, ["k"], "v", {"p0": 0.0, "q1": 0.25, "q2": 0.5, "q9": 0.9, "p100": 1.0}, accuracy, small).collect()}
     x = sorted(v for k, v in rows if k == "a")
     for name, p in (("p0", 0.0), ("q1", 0.25), ("q2", 0.5), ("q9", 0.9), ("p100", 1.0)):
         spot = p * (len(x) - 1)
@@ -82,6 +82,34 @@ def test_quantiles_are_exact_beyond_the_sketch(spark, accuracy):
     assert (got["b"].q1, got["b"].q2, got["b"].p100) == (2.5, 5.0, 10.0)
 
 
+def test_quantiles_without_keys_and_with_wrong_cuts(spark, monkeypatch):
+    """Cuts that miss every rank only choose the wrong piece for a while: each round still narrows the brackets."""
+    from tidewatch.operators import quantiles
+
+    df = spark.createDataFrame([(float(i * i % 997),) for i in range(997)], "v double")
+    x = sorted(float(i * i % 997) for i in range(997))
+    assert exact_quantiles(df, [], "v", {"m": 0.5, "p": 0.1}, small=10).first()[:] == (x[498], pytest.approx(x[99] + 0.6 * (x[100] - x[99])))
+    plain = F.percentile_approx
+    monkeypatch.setattr(quantiles.F, "percentile_approx", lambda c, at, accuracy: plain(c, [0.6] * len(at), 100))
+    assert exact_quantiles(df, [], "v", {"m": 0.5}, small=300).first().m == x[498]
+
+
+def test_no_task_sorts_more_than_a_small_bracket(spark):
+    """One key with most of the rows: what is sorted per key and rank stays under the bound."""
+    from tidewatch.operators import quantiles
+
+    df = spark.range(60_000).selectExpr("if(id % 10 = 0, 'b', 'a') AS k", "cast(pmod(hash(id), 1000003) as double) AS v")
+    seen = []
+    picked = quantiles._picked
+    quantiles._picked = lambda rows, state, *rest: seen.append(rows.groupBy("k").count().agg(F.max("count")).first()[0]) or picked(rows, state, *rest)
+    try:
+        got = {r.k: r for r in exact_quantiles(df, ["k"], "v", {"q1": 0.25, "q3": 0.75}, small=500).collect()}
+    finally:
+        quantiles._picked = picked
+    want = {r.k: r for r in df.groupBy("k").agg(F.percentile("v", 0.25).alias("q1"), F.percentile("v", 0.75).alias("q3")).collect()}
+    assert seen[0] <= 2 * 500 and all((got[k].q1, got[k].q3) == pytest.approx((want[k].q1, want[k].q3)) for k in "ab")
+
+
 def test_quantile_of_nulls_is_absent(spark):
     df = spark.createDataFrame([("a", None), ("b", 1.0)], "k string, v double")
     assert [r.k for r in exact_quantiles(df, ["k"], "v", {"m": 0.5}).collect()] == ["b"]
