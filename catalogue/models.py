@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalogue import query
 from catalogue.accuracy import NAMES, metric_sql, shown
-from catalogue.base import GRID, grid, plain, r, split, sql, view
+from catalogue.base import DAILY_GRID, GRID, VIEWS, daily_grid, grid, plain, r, split, sql, view
 from tidewatch.operators import models as mo
 from tidewatch.operators.features import build_features, feature_names, lag_features
 from tidewatch.operators.forecast import SequenceForecaster, naive_forecast
@@ -62,6 +62,24 @@ _register_pair("linear_regression", "0")
 _register_pair("ridge", "(1 / m)")
 
 
+view("llags", """llags AS (SELECT * FROM (SELECT series, timestamp, demand AS y, lag(demand, 1) OVER w AS x1, lag(demand, 7) OVER w AS x2 FROM lg
+  WINDOW w AS (PARTITION BY series ORDER BY timestamp)) WHERE x2 IS NOT NULL)""", "lg")
+view("lco", VIEWS["co"][0].replace("co AS", "lco AS", 1).replace("FROM lags2", "FROM llags"), "llags")
+WEEK = ["demand_lag_1h", "demand_lag_7h"]
+
+
+def by_supplier(spark, d):
+    """The daily panel of every supplier with two lags: as many models as suppliers."""
+    rows = lag_features(daily_grid(spark, d).drop("pos", "n"), DAILY_GRID, lags=(1, 7)).where("demand_lag_7h is not null")
+    return rows.withColumn("target", F.col("demand"))
+
+
+@query("ridge_by_supplier", sql(f"SELECT series, m AS n, {r('b0', 5)} AS intercept, {r('b1', 5)} AS b1, {r('b2', 5)} AS b2 FROM {solved('(1 / m)').replace('FROM co', 'FROM lco')}", "lco"), digits=5)
+def ridge_by_supplier(spark, d):
+    model = mo.LinearForecaster("ridge").fit(by_supplier(spark, d), WEEK)
+    return model.coefficients.select("series", "n", "intercept", F.col("coef")[0].alias("b1"), F.col("coef")[1].alias("b2"))
+
+
 @query("lasso_one_feature", sql(f"""SELECT series, {r('my - b * m2', 5)} AS intercept, {r('b', 5)} AS slope FROM (
   SELECT *, sign(s2y) * greatest(abs(s2y) - 0.1, 0) / s22 AS b FROM co)""", "co"), digits=5)
 def lasso_one(spark, d):
@@ -148,6 +166,20 @@ def cv_ols(spark, d):
     return mo.cross_validate([mo.LinearForecaster()], rows, ONE).drop("model")
 
 
+view("lcvfit", VIEWS["cvfit"][0].replace("cvfit AS", "lcvfit AS", 1).replace("FROM lags2", "FROM llags"), "llags")
+
+
+@query("cv_ols_by_supplier", sql(f"""SELECT series, fold::BIGINT AS fold, n_predictions, {shown(NAMES)} FROM (
+  SELECT series, fold, count(*) AS n_predictions, {metric_sql('', 'y', 'greatest(a + b * x2, 0)')}
+  FROM (SELECT *, nn - (5 - fold) * floor(nn / 6)::BIGINT AS st FROM lcvfit)
+  JOIN (SELECT series, fold, regr_slope(y, x2) AS b, regr_intercept(y, x2) AS a FROM (SELECT *, nn - (5 - fold) * floor(nn / 6)::BIGINT AS st FROM lcvfit)
+    WHERE i < st - 24 GROUP BY 1, 2) USING (series, fold)
+  WHERE i >= st AND i < st + floor(nn / 6)::BIGINT GROUP BY 1, 2)""", "lcvfit"))
+def cv_ols_by_supplier(spark, d):
+    """As many models as suppliers and folds, all in one pass."""
+    return mo.cross_validate([mo.LinearForecaster()], by_supplier(spark, d), WEEK[1:], DAILY_GRID).drop("model")
+
+
 @query("model_roundtrip", sql(f"SELECT series, timestamp, {r('greatest(b0 + b1 * x1 + b2 * x2, 0)', 5)} AS predicted FROM lags2 JOIN {solved('(1 / m)')} USING (series)", "co"), digits=5)
 def model_roundtrip(spark, d):
     """A ridge model saved, loaded and used."""
@@ -170,6 +202,34 @@ def multi_step(spark, d):
     return SequenceForecaster().fit(g).forecast(g, 48)
 
 
+view("zs2", """zs2 AS (SELECT * FROM (SELECT series, timestamp, m, s, z AS y, lag(z, 2) OVER w AS x1, lag(z, 1) OVER w AS x2 FROM (
+  SELECT g.series, timestamp, ((demand - m) / s)::FLOAT::DOUBLE AS z, m, s FROM g JOIN (SELECT series, avg(demand) AS m, stddev_pop(demand) + 1e-8 AS s FROM g GROUP BY 1) k USING (series))
+  WINDOW w AS (PARTITION BY series ORDER BY timestamp)) WHERE x1 IS NOT NULL)""", "g")
+view("zco", VIEWS["co"][0].replace("co AS", "zco AS", 1).replace("FROM lags2", "FROM zs2"), "zs2")
+_TWO_BACK = solved("0").replace("FROM co", "FROM zco")
+
+
+@query("sequence_forecast_two", sql(f"SELECT series, timestamp, {r('y * s + zs2.m', 4)} AS actual, {r('greatest((b0 + b1 * x1 + b2 * x2) * s + zs2.m, 0)', 4)} AS predicted FROM zs2 JOIN {_TWO_BACK} USING (series)", "zco"), digits=4)
+def sequence_two(spark, d):
+    """The sequence model with the last two values, which SQL can solve."""
+    g = plain(spark, d)
+    return SequenceForecaster(2).fit(g).predict(g)
+
+
+view("ahead", f"""ahead AS (SELECT series, 0 AS step, z1, z2, b0, b1, b2, m, s, hi FROM (
+  SELECT series, arg_max(z, timestamp) AS z2, arg_max(zp, timestamp) AS z1, max(timestamp) AS hi, any_value(m) AS m, any_value(s) AS s FROM (
+    SELECT series, timestamp, m, s, z, lag(z) OVER (PARTITION BY series ORDER BY timestamp) AS zp FROM (
+      SELECT g.series, timestamp, (demand - m) / s AS z, m, s FROM g JOIN (SELECT series, avg(demand) AS m, stddev_pop(demand) + 1e-8 AS s FROM g GROUP BY 1) k USING (series))) GROUP BY 1)
+  JOIN {_TWO_BACK.replace('SELECT *,', 'SELECT series,', 1).replace('my - b1 * m1 - b2 * m2 AS b0', 'b1, b2, my - b1 * m1 - b2 * m2 AS b0')} USING (series)
+  UNION ALL SELECT series, step + 1, z2, b0 + b1 * z1 + b2 * z2, b0, b1, b2, m, s, hi FROM ahead WHERE step < 48)""", "zco")
+
+
+@query("multi_step_forecast_two", sql(f"SELECT series, step::BIGINT AS step, hi + step * INTERVAL 1 HOUR AS timestamp, {r('greatest(z2 * s + m, 0)', 4)} AS predicted FROM ahead WHERE step > 0", "ahead").replace("WITH", "WITH RECURSIVE", 1), digits=4)
+def multi_step_two(spark, d):
+    g = grid(spark, d)
+    return SequenceForecaster(2).fit(g).forecast(g, 48)
+
+
 @query("multi_step_naive", sql(f"""SELECT series, step::BIGINT AS step, hi + step * INTERVAL 1 HOUR AS timestamp, {r('greatest(demand, 0)')} AS predicted
 FROM (SELECT series, max(timestamp) AS hi, max(n) AS n FROM g GROUP BY 1) CROSS JOIN (SELECT unnest(range(1, 49)) AS step)
 JOIN (SELECT series, pos, demand FROM g) USING (series) WHERE pos = n - 24 + (step - 1) % 24""", "g"))

@@ -15,6 +15,22 @@ def matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
+def runs(batch: pa.RecordBatch, names: list[str]) -> list[tuple[tuple, int, int]]:
+    """Key, first row and end of each stretch of rows with one key; nulls are equal."""
+    n = batch.num_rows
+    if not n:
+        return []
+    change = np.zeros(n, bool)
+    change[0] = True
+    for c in names:
+        codes = batch.column(c).dictionary_encode(null_encoding="encode").indices.to_numpy()
+        change[1:] |= codes[1:] != codes[:-1]
+    starts = np.flatnonzero(change)
+    keys = [batch.column(c).take(pa.array(starts)).to_pylist() for c in names]
+    keys = list(zip(*keys, strict=True)) if names else [()]
+    return list(zip(keys, starts.tolist(), [*starts[1:].tolist(), n], strict=True))
+
+
 def add_arrays(parts: DataFrame, keys, value: str) -> DataFrame:
     """One array per key: the sums of the arrays in ``value``, entry by entry.
 
@@ -43,21 +59,14 @@ def _adder(names: list[str], value: str):
 
         for b in batches:
             like = b.schema
-            keys = list(zip(*(b.column(c).to_pylist() for c in names), strict=True)) if names else [()] * b.num_rows
-            arrays = b.column(value)
-            at = 0
-            while at < len(keys):
-                end = at + 1
-                while end < len(keys) and keys[end] == keys[at]:
-                    end += 1
-                part = matrix(arrays.slice(at, end - at)).sum(0)
-                if total is not None and keys[at] == now:
+            for key, at, end in runs(b, names):
+                part = matrix(b.column(value).slice(at, end - at)).sum(0)
+                if total is not None and key == now:
                     total = total + part
                 else:
                     if total is not None:
                         yield emit()
-                    now, total = keys[at], part
-                at = end
+                    now, total = key, part
         if total is not None:
             yield emit()
 

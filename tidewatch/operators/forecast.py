@@ -10,6 +10,7 @@ from tidewatch.operators.joins import attach
 from tidewatch.operators.models import LinearForecaster
 from tidewatch.operators.split import tail
 from tidewatch.schemas import EPS, HOURLY, SEQUENCE_LENGTH, Panel
+from tidewatch.session import materialise
 
 
 class SequenceForecaster:
@@ -38,7 +39,8 @@ class SequenceForecaster:
 
     def fit(self, df: DataFrame) -> "SequenceForecaster":
         p = self.panel
-        self.moments = df.groupBy(*p.keys).agg(F.avg(p.value).alias("_m"), (F.stddev_pop(p.value) + EPS).alias("_s"))
+        moments = df.groupBy(*p.keys).agg(F.avg(p.value).alias("_m"), (F.stddev_pop(p.value) + EPS).alias("_s"))
+        self.moments = materialise(moments, "moments")
         model = LinearForecaster("linear_regression", keys=p.keys, spread=p.ts)
         model.fit(self._pairs(df), [f"s_{i}" for i in range(self.length)], "next_value")
         self.model = model

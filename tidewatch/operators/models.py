@@ -4,18 +4,19 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidewatch.functions.scalar import non_negative
+from tidewatch.operators.arrays import BUNDLE, add_arrays, matrix, runs
 from tidewatch.operators.joins import attach
 from tidewatch.operators.metrics import cv_summary, evaluate
 from tidewatch.operators.split import cv_folds
 from tidewatch.schemas import HOURLY, LASSO_ALPHA, RIDGE_ALPHA, Panel
-
-_FLUSH = 64
+from tidewatch.session import materialise
 
 
 class Forecaster:
@@ -51,44 +52,65 @@ def _upper(d: int):
 def sum_products(df: DataFrame, keys, features, target: str) -> DataFrame:
     """Upper triangle of Z'Z, Z = (1, features, target), per key, as an array of sums.
 
-    A task adds up its rows with one matrix product per key and batch, and
-    hands on one partial array per key; partial arrays are summed entry by
-    entry with map-side combining. The size does not depend on the row count.
+    Rows of a partition are sorted by key and added up as they stream by. A key with at least half as many rows there as Z has columns
+    becomes one array of products; of any other its rows are handed on as they are, which takes no more room than its products would. So
+    nothing grows before the shuffle, whether there is one key or as many as rows, and a hot key is one array per task. Then rows and products
+    of a key are added, first over neighbouring partitions, then over those.
     """
     keys, d = list(keys), len(features) + 2
-    top = _upper(d)
     z = F.array(F.lit(1.0), *[F.col(c).cast("double") for c in features], F.col(target).cast("double"))
     rows = df.select(*keys, z.alias("_z"))
+    rows = rows.sortWithinPartitions(*keys) if keys else rows
+    schema = T.StructType([df.schema[k] for k in keys] + [T.StructField("_z", T.ArrayType(T.DoubleType()))])
+    parts = rows.mapInArrow(_products(keys, d, keep_few=True), schema)
+    bundled = parts.withColumn("_bundle", F.floor(F.spark_partition_id() / BUNDLE))
+    names = [*keys, "_bundle"]
+    schema = T.StructType([*[bundled.schema[k] for k in names], schema["_z"]])
+    sums = bundled.repartition(*names).sortWithinPartitions(*names).select(*names, "_z").mapInArrow(_products(names, d, keep_few=False), schema)
+    return add_arrays(sums, keys, "_z").withColumnRenamed("_z", "products")
+
+
+def _products(keys: list[str], d: int, keep_few: bool):
+    """For sorted keys: each key's rows (arrays of ``d``) and products (longer arrays) as one array of products.
+
+    With ``keep_few`` the rows of a key that has fewer than ``d / 2`` of them stay rows.
+    """
+    top = _upper(d)
 
-    def partial(batches):
-        held: dict = {}
-
-        def flush():
-            if not held:
-                return None
-            out = pd.DataFrame(list(held), columns=keys) if keys else pd.DataFrame(index=[0])
-            out["_g"] = [list(m[top]) for m in held.values()]
-            held.clear()
-            return out
-
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            for key, g in pdf.groupby(keys, sort=False, dropna=False) if keys else [((), pdf)]:
-                x = np.stack(g["_z"].to_numpy())
-                key = key if isinstance(key, tuple) else (key,)
-                held[key] = held.get(key, 0.0) + x.T @ x
-                if len(held) >= _FLUSH:
-                    yield flush()
-        last = flush()
-        if last is not None:
-            yield last
-
-    schema = T.StructType([df.schema[k] for k in keys] + [T.StructField("_g", T.ArrayType(T.DoubleType()))])
-    parts = rows.mapInPandas(partial, schema).select(*keys, F.posexplode("_g").alias("_i", "_x"))
-    sums = parts.groupBy(*keys, "_i").agg(F.sum("_x").alias("_x"))
-    packed = F.array_sort(F.collect_list(F.struct("_i", "_x")))  # (d + 2)(d + 3) / 2 entries per key
-    return sums.groupBy(*keys).agg(F.transform(packed, lambda s: s["_x"]).alias("products"))
+    def run(batches):
+        now, total, waiting, held, like = None, None, [], 0, None
+
+        def folded():
+            x = np.concatenate(waiting) if waiting else np.zeros((0, d))
+            more = (x.T @ x)[top]
+            return more if total is None else total + more
+
+        def made():
+            arrays = list(np.concatenate(waiting)) if total is None and keep_few and held < d / 2 else [folded()]
+            columns = [pa.array([k] * len(arrays), like.field(i).type) for i, k in enumerate(now)]
+            return pa.RecordBatch.from_arrays([*columns, pa.array([a.tolist() for a in arrays], like.field(len(keys)).type)], schema=like)
+
+        for b in batches:
+            like = b.schema
+            size = np.diff(b.column("_z").offsets.to_numpy())
+            for key, at, end in runs(b, keys):
+                if now is not None and key != now:
+                    yield made()
+                    total, waiting, held = None, [], 0
+                now = key
+                part, few = b.column("_z").slice(at, end - at), size[at:end] == d
+                if not few.all():
+                    more = matrix(part.filter(pa.array(~few))).sum(0)
+                    total = more if total is None else total + more
+                if few.any():
+                    waiting.append(matrix(part if few.all() else part.filter(pa.array(few))))
+                    held += len(waiting[-1])
+                if held >= 4 * d or (total is not None and held >= d):
+                    total, waiting, held = folded(), [], 0
+        if now is not None:
+            yield made()
+
+    return run
 
 
 def _centred(products: np.ndarray, d: int):
@@ -171,7 +193,8 @@ class LinearForecaster(Forecaster):
             return pd.DataFrame(out, columns=["n", "intercept", "coef"])
 
         sums = sum_products(df, self.keys, features, target)
-        self.coefficients = sums.select(*self.keys, solve("products").alias("_m")).select(*self.keys, "_m.*")
+        # stored, so that the fit runs once and its size is known to the joins that use it
+        self.coefficients = materialise(sums.select(*self.keys, solve("products").alias("_m")).select(*self.keys, "_m.*"), "coefficients")
         return self
 
     def predict(self, df: DataFrame) -> DataFrame:
