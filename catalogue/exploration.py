@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewatch.operators import explore as e
 from tidewatch.operators.grid import regularise
 from tidewatch.operators.metrics import residual_histogram
+from tidewatch.functions.scalar import _CENTRE, _FAR, _NEAR
 from tidewatch.operators.quantiles import exact_quantiles
 from tidewatch.operators.split import head, tail
 from tidewatch.schemas import DAILY, HOURLY
@@ -108,15 +109,44 @@ def residual_hist(spark, d):
     return residual_histogram(naive(spark, d))
 
 
-@query("kde", sql(f"""SELECT series, point, {r('max(x)')} AS x, {r('sum(exp(-0.5 * ((x - demand) / h) * ((x - demand) / h)) / (n * h * sqrt(2 * pi())))')} AS density
-FROM (SELECT g.series, point, lo + (hi - lo) / 199 * point AS x, demand, h, k.n FROM g
-  JOIN (SELECT series, min(demand) AS lo, max(demand) AS hi, count(*) AS n, stddev_samp(demand) * pow(count(*), -0.2) AS h FROM g GROUP BY 1) k USING (series),
-  (SELECT unnest(range(200)) AS point)) GROUP BY 1, 2""", "g"))
+view("kspan", """kspan AS (SELECT series, min(demand) AS lo, max(demand) AS hi, count(*) AS n, stddev_samp(demand) * pow(count(*), -0.2) AS h FROM g GROUP BY 1)""", "g")
+view("knode", """knode AS (SELECT series, i + side AS i, sum(CASE side WHEN 0 THEN 1 - w ELSE w END) AS mass FROM (
+  SELECT g.series, least(floor((demand - lo) / ((hi - lo) / 1592)), 1592)::INT AS i, (demand - lo) / ((hi - lo) / 1592) - least(floor((demand - lo) / ((hi - lo) / 1592)), 1592) AS w
+  FROM g JOIN kspan USING (series)) CROSS JOIN (SELECT unnest([0, 1]) AS side) GROUP BY 1, 2)""", "kspan")
+
+
+@query("kde", sql(f"""SELECT series, point, {r('max(lo + (hi - lo) / 199 * point)')} AS x,
+  {r('sum(mass * exp(-0.5 * pow((hi - lo) / 1592 * (8 * point - i) / h, 2)) / (n * h * sqrt(2 * pi())))')} AS density
+FROM knode JOIN kspan USING (series) CROSS JOIN (SELECT unnest(range(200)) AS point) WHERE i <= 1592 GROUP BY 1, 2""", "knode"))
 def kde(spark, d):
     return e.kde(plain(spark, d))
 
 
-@query("qq_fit")
+def _poly(table, x: str) -> str:
+    """A polynomial, highest power first, in Horner's form."""
+    out = repr(table[0]) + "::DOUBLE"
+    for c in table[1:]:
+        out = f"({out} * {x} + {c!r}::DOUBLE)"
+    return out
+
+
+def _ratio_sql(tables, x: str) -> str:
+    return f"({_poly(tables[0], x)} / {_poly(tables[1], x)})"
+
+
+def normal_quantile_sql(p: str) -> str:
+    """AS 241 over the coefficients the library holds."""
+    tail = f"sqrt(-ln(CASE WHEN {p} < 0.5 THEN {p} ELSE 1.0 - {p} END))"
+    outer = f"CASE WHEN {tail} <= 5 THEN {_ratio_sql(_NEAR, f'({tail} - 1.6)')} ELSE {_ratio_sql(_FAR, f'({tail} - 5.0)')} END"
+    return f"CASE WHEN abs({p} - 0.5) <= 0.425 THEN ({p} - 0.5) * {_ratio_sql(_CENTRE, f'(0.180625::DOUBLE - ({p} - 0.5) * ({p} - 0.5))')} WHEN {p} < 0.5 THEN -({outer}) ELSE {outer} END"
+
+
+view("qq", """qq AS (SELECT series, demand, CASE WHEN i = n THEN pow(0.5::DOUBLE, 1 / n) WHEN i = 1 THEN 1 - pow(0.5::DOUBLE, 1 / n) ELSE (i - 0.3175::DOUBLE) / (n + 0.365::DOUBLE) END AS p FROM (
+  SELECT series, demand, row_number() OVER (PARTITION BY series ORDER BY demand) AS i, count(*) OVER (PARTITION BY series)::DOUBLE AS n FROM g))""", "g")
+
+
+@query("qq_fit", sql(f"""SELECT series, {r('regr_slope(demand, x)')} AS slope, {r('regr_intercept(demand, x)')} AS intercept, {r('regr_r2(demand, x)')} AS r2
+  FROM (SELECT series, demand, {normal_quantile_sql('p')} AS x FROM qq) GROUP BY 1""", "qq"))
 def qq_fit(spark, d):
     return e.qq_fit(plain(spark, d))
 
@@ -169,7 +199,15 @@ def acf72(spark, d):
     return e.acf(grid(spark, d))
 
 
-@query("pacf72")
+# Durbin's recursion, one lag a step
+view("durbin", """durbin AS (SELECT series, 0 AS lag, 1::DOUBLE AS pacf, []::DOUBLE[] AS phi, 1::DOUBLE AS err, a, m FROM (SELECT series, list(acf ORDER BY lag) AS a, any_value(m) AS m FROM acf GROUP BY 1)
+  UNION ALL
+  SELECT series, lag + 1, last, list_append(list_transform(range(1, lag + 1), lambda i: phi[i] - last * phi[lag + 1 - i]), last), err * (1 - last * last), a, m
+  FROM (SELECT *, (a[lag + 2] - coalesce(list_sum(list_transform(range(1, lag + 1), lambda i: phi[i] * a[lag + 2 - i])), 0)) / err AS last FROM durbin WHERE lag < 72))""", "acf")
+
+
+@query("pacf72", sql(f"""SELECT series, lag, {r('pacf')} AS pacf, {r('pacf - half')} AS lower, {r('pacf + half')} AS upper FROM (
+  SELECT *, CASE WHEN lag = 0 THEN 0 ELSE 1.959963984540054::DOUBLE / sqrt(m) END AS half FROM durbin)""", "durbin").replace("WITH", "WITH RECURSIVE", 1))
 def pacf72(spark, d):
     return e.pacf(grid(spark, d))
 

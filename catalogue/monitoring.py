@@ -36,13 +36,12 @@ view("ks", """ks AS (SELECT feature, d, CASE WHEN x < 0.2 THEN 1 ELSE greatest(0
 
 @query("psi", sql(f"SELECT feature, {r('psi')} AS psi, CASE WHEN psi < 0.1 THEN 'none' WHEN psi < 0.2 THEN 'low' WHEN psi < 0.25 THEN 'medium' ELSE 'high' END AS level FROM psi", "psi"))
 def psi(spark, d):
-    counts = drift.value_counts(*drift_sides(spark, d), DRIFT_FEATURES)
-    return drift.psi(counts).withColumn("level", psi_level("psi"))
+    return drift.psi(drift.value_rows(*drift_sides(spark, d), DRIFT_FEATURES)).withColumn("level", psi_level("psi"))
 
 
 @query("ks_two_sample", sql(f"SELECT feature, {r('d')} AS ks_statistic, {r('pv')} AS ks_pvalue FROM ks", "ks"))
 def ks(spark, d):
-    return drift.ks(drift.value_counts(*drift_sides(spark, d), DRIFT_FEATURES))
+    return drift.ks(drift.value_rows(*drift_sides(spark, d), DRIFT_FEATURES))
 
 
 @query("drift_report", sql(f"""SELECT feature, {shown(['train_mean', 'prod_mean', 'train_std', 'prod_std'])}, {r('d')} AS ks_statistic, {r('pv')} AS ks_pvalue,
@@ -228,9 +227,16 @@ def severity_levels(spark, d):
 
 # ------------------------------------------------------------ utilities, tables
 
-@query("narrow_types", f"SELECT l_orderkey, l_suppkey, {r('l_quantity')} AS l_quantity FROM lineitem")
+def _narrowest(c: str) -> str:
+    fits = " ".join(f"WHEN min({c}) >= {-(2**bits)} AND max({c}) < {2**bits} THEN '{kind}'" for kind, bits in (("tinyint", 7), ("smallint", 15), ("int", 31)))
+    return f"(SELECT CASE {fits} ELSE 'bigint' END FROM lineitem) AS type_{c}"
+
+
+@query("narrow_types", f"SELECT l_orderkey, l_suppkey, {r('l_quantity')} AS l_quantity, {_narrowest('l_orderkey')}, {_narrowest('l_suppkey')}, 'float' AS type_l_quantity FROM lineitem")
 def narrow_types(spark, d):
-    return monitor.narrow_types(table(spark, d, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity"))
+    """The narrowed columns, and the types they have got."""
+    narrow = monitor.narrow_types(table(spark, d, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity"))
+    return narrow.select("*", *[F.lit(f.dataType.simpleString()).alias(f"type_{f.name}") for f in narrow.schema])
 
 
 @query("fingerprint")

@@ -6,7 +6,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidewatch.functions.scalar import psi_level
-from tidewatch.operators.joins import attach
 from tidewatch.operators.quantiles import running_counts
 from tidewatch.schemas import DRIFT_THRESHOLD, EPS, KS_ALPHA
 from tidewatch.session import materialise
@@ -20,12 +19,8 @@ def numeric_features(train: DataFrame, prod: DataFrame, features=None) -> list[s
     return [c for c in wanted if c in train.columns and c in prod.columns]
 
 
-def value_counts(train: DataFrame, prod: DataFrame, features=None) -> DataFrame:
-    """Distinct values per feature with their count on either side.
-
-    Counts combine before the shuffle and everything later works on distinct
-    values. Features with fewer than ten values on a side are left out.
-    """
+def value_rows(train: DataFrame, prod: DataFrame, features=None) -> DataFrame:
+    """``feature, value, n_train, n_prod``: one row per value, the counts telling its side. Nulls and NaN are left out."""
     names = numeric_features(train, prod, features)
 
     def long(df: DataFrame, side: int) -> DataFrame:
@@ -34,30 +29,26 @@ def value_counts(train: DataFrame, prod: DataFrame, features=None) -> DataFrame:
             "_p.*", F.lit(1 - side).cast("long").alias("n_train"), F.lit(side).cast("long").alias("n_prod")
         )
 
-    both = long(train, 0).unionByName(long(prod, 1)).where("value is not null")
-    return both.groupBy("feature", "value").agg(F.sum("n_train").alias("n_train"), F.sum("n_prod").alias("n_prod"))
+    return long(train, 0).unionByName(long(prod, 1)).where("value is not null")
+
 
+def value_counts(rows: DataFrame) -> DataFrame:
+    """Distinct values per feature with their count on either side; counts combine before the shuffle."""
+    return rows.groupBy("feature", "value").agg(F.sum("n_train").alias("n_train"), F.sum("n_prod").alias("n_prod"))
 
-def _sizes(counts: DataFrame) -> DataFrame:
-    """Per feature: rows, moments (population std) and joint range; small features dropped."""
+
+def sizes(rows: DataFrame) -> DataFrame:
+    """Per feature: rows and moments (population std) on either side, joint range. One pass; features with under ten rows on a side are left out."""
     v = F.col("value")
     made = [F.min(v).alias("_lo"), F.max(v).alias("_hi")]
     for side in ("train", "prod"):
-        n = F.col(f"n_{side}")
-        made += [
-            F.sum(n).alias(f"rows_{side}"), (F.sum(v * n) / F.sum(n)).alias(f"{side}_mean"),
-        ]
-    return counts.groupBy("feature").agg(*made).where((F.col("rows_train") >= MIN_ROWS) & (F.col("rows_prod") >= MIN_ROWS))
+        mine = F.when(F.col(f"n_{side}") > 0, v)
+        made += [F.count(mine).alias(f"rows_{side}"), F.avg(mine).alias(f"{side}_mean"), F.stddev_pop(mine).alias(f"{side}_std")]
+    return rows.groupBy("feature").agg(*made).where((F.col("rows_train") >= MIN_ROWS) & (F.col("rows_prod") >= MIN_ROWS))
 
 
-def _moments(counts: DataFrame, sizes: DataFrame) -> DataFrame:
-    rows = attach(counts, sizes, ["feature"], "value")
-    v = F.col("value")
-    made = []
-    for side in ("train", "prod"):
-        gap = v - F.col(f"{side}_mean")
-        made.append(F.sqrt(F.sum(gap * gap * F.col(f"n_{side}")) / F.first(f"rows_{side}")).alias(f"{side}_std"))
-    return rows.where("rows_train is not null").groupBy("feature", "train_mean", "prod_mean").agg(*made)
+def _with_sizes(rows: DataFrame, found: DataFrame) -> DataFrame:
+    return rows.join(F.broadcast(found), "feature")  # one row per feature: its size is bounded by the schema
 
 
 def _bin(v: Column, bins: int) -> Column:
@@ -70,18 +61,21 @@ def _bin(v: Column, bins: int) -> Column:
     return F.coalesce(moved, F.lit(0)).cast("int")
 
 
-def psi(counts: DataFrame, bins: int = 10, eps: float = EPS) -> DataFrame:
-    """Population stability index per feature over joint equal-width bins."""
-    sizes = _sizes(counts)
-    rows = attach(counts, sizes, ["feature"], "value").where("rows_train is not null")
-    found = rows.groupBy("feature", _bin(F.col("value"), bins).alias("bin")).agg(
+def bin_counts(rows: DataFrame, found: DataFrame, bins: int = 10) -> DataFrame:
+    """Rows of either side per feature and joint equal-width bin, empty bins too: features x bins rows leave each task."""
+    counts = _with_sizes(rows, found).groupBy("feature", _bin(F.col("value"), bins).alias("bin")).agg(
         F.sum("n_train").alias("_t"), F.sum("n_prod").alias("_p")
     )
-    dense = sizes.select("feature", "rows_train", "rows_prod", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    dense = dense.join(found, ["feature", "bin"], "left")
+    dense = found.select("feature", "rows_train", "rows_prod", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    return dense.join(counts, ["feature", "bin"], "left")
+
+
+def psi(rows: DataFrame, bins: int = 10, eps: float = EPS, found: DataFrame | None = None) -> DataFrame:
+    """Population stability index per feature over joint equal-width bins; ``found`` is ``sizes(rows)`` where it is known."""
+    binned = bin_counts(rows, sizes(rows) if found is None else found, bins)
     expected = F.coalesce("_t", F.lit(0)) / (F.col("rows_train") + F.lit(eps)) + F.lit(eps)
     actual = F.coalesce("_p", F.lit(0)) / (F.col("rows_prod") + F.lit(eps)) + F.lit(eps)
-    return dense.groupBy("feature").agg(F.sum((actual - expected) * F.log(actual / expected)).alias("psi"))
+    return binned.groupBy("feature").agg(F.sum((actual - expected) * F.log(actual / expected)).alias("psi"))
 
 
 def kolmogorov(scaled: Column) -> Column:
@@ -91,12 +85,15 @@ def kolmogorov(scaled: Column) -> Column:
     return F.when(scaled < 0.2, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), total)))
 
 
-def ks(counts: DataFrame) -> DataFrame:
-    """Two-sample KS distance per feature (exact) and its asymptotic p-value."""
-    sizes = _sizes(counts).select("feature", "rows_train", "rows_prod")
-    runs = attach(running_counts(counts, ["feature"], "value", ["n_train", "n_prod"]), sizes, ["feature"], "value")
+def ks(rows: DataFrame, found: DataFrame | None = None) -> DataFrame:
+    """Two-sample KS distance per feature (exact) and its asymptotic p-value.
+
+    The only measure that needs values in order: distinct ones with their counts are dealt into ranges.
+    """
+    found = sizes(rows) if found is None else found
+    runs = _with_sizes(running_counts(value_counts(rows), ["feature"], "value", ["n_train", "n_prod"]), found.select("feature", "rows_train", "rows_prod"))
     gap = F.abs(F.col("cum_n_train") / F.col("rows_train") - F.col("cum_n_prod") / F.col("rows_prod"))
-    best = runs.where("rows_train is not null").groupBy("feature", "rows_train", "rows_prod").agg(F.max(gap).alias("ks_statistic"))
+    best = runs.groupBy("feature", "rows_train", "rows_prod").agg(F.max(gap).alias("ks_statistic"))
     size = F.col("rows_train") * F.col("rows_prod") / (F.col("rows_train") + F.col("rows_prod"))
     return best.select("feature", "ks_statistic", kolmogorov(F.sqrt(size) * F.col("ks_statistic")).alias("ks_pvalue"))
 
@@ -104,12 +101,10 @@ def ks(counts: DataFrame) -> DataFrame:
 def drift_report(train: DataFrame, prod: DataFrame, features=None, threshold: float | None = None) -> DataFrame:
     """One row per feature: moments, KS, PSI, ``is_drifted`` (p < 0.05 or PSI above the threshold), level by PSI."""
     limit = DRIFT_THRESHOLD if threshold is None else threshold
-    # seven passes read the distinct values, so they are written once
-    return report_from_counts(materialise(value_counts(train, prod, features), "values"), limit)
-
-
-def report_from_counts(counts: DataFrame, threshold: float = DRIFT_THRESHOLD) -> DataFrame:
-    report = _moments(counts, _sizes(counts)).join(ks(counts), "feature").join(psi(counts), "feature")
-    return report.withColumn("is_drifted", (F.col("ks_pvalue") < KS_ALPHA) | (F.col("psi") > threshold)).withColumn(
+    rows = value_rows(train, prod, features)
+    found = materialise(sizes(rows), "sizes")
+    moments = found.select("feature", *[f"{side}_{m}" for m in ("mean", "std") for side in ("train", "prod")])
+    report = moments.join(ks(rows, found), "feature").join(psi(rows, found=found), "feature")
+    return report.withColumn("is_drifted", (F.col("ks_pvalue") < KS_ALPHA) | (F.col("psi") > limit)).withColumn(
         "drift_level", psi_level("psi")
     )

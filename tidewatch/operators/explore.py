@@ -14,6 +14,7 @@ from tidewatch.operators.joins import attach
 from tidewatch.operators.quantiles import exact_quantiles, running_counts
 from tidewatch.operators.split import tail, with_position
 from tidewatch.schemas import HOURLY, Panel
+from tidewatch.session import materialise
 
 # Weekday names, Monday first.
 WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
@@ -109,32 +110,41 @@ def histogram(df: DataFrame, panel: Panel = HOURLY, bins: int = 80) -> DataFrame
     )
 
 
-def kde(df: DataFrame, panel: Panel = HOURLY, points: int = 200) -> DataFrame:
-    """Gaussian kernel density (Scott bandwidth) on a grid from minimum to maximum.
+def kde(df: DataFrame, panel: Panel = HOURLY, points: int = 200, fine: int = 8) -> DataFrame:
+    """Gaussian kernel density (Scott bandwidth) on a grid from minimum to maximum, by a binned convolution.
 
-    Each task turns its batches into one partial sum per (series, grid point);
-    only those sums shuffle.
+    A value's mass is shared between the two nodes beside it of a grid ``fine`` times as fine, in proportion to nearness; one row
+    per node, combined before the shuffle, and one array of nodes per series, convolved with the kernel. The error against the direct sum
+    falls with the square of node distance over bandwidth: under 1e-3 of the peak wherever that ratio is under 0.08.
     """
-    keys, v = list(panel.keys), panel.value
-    span = _span(df, panel).where("_n > 1 and _std > 0").withColumn("_h", F.col("_std") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)))
-    rows = attach(df.where(F.col(v).isNotNull()), span, keys, v).where("_h is not null")
-    rows = rows.select(*keys, F.col(v).alias("_v"), "_min", "_max", "_h", "_n")
-
-    def partial(batches):
-        for pdf in batches:
-            for key, g in pdf.groupby(keys, sort=False, dropna=False) if keys else [((), pdf)]:
-                lo, hi, h, n = (g[c].iloc[0] for c in ("_min", "_max", "_h", "_n"))
-                grid = lo + (hi - lo) / (points - 1) * np.arange(points)
-                z = (grid[None, :] - g["_v"].to_numpy()[:, None]) / h
-                mass = np.exp(-0.5 * z * z).sum(axis=0) / (n * h * np.sqrt(2 * np.pi))
-                head = dict(zip(keys, key if isinstance(key, tuple) else (key,)))
-                yield pd.DataFrame({**head, "point": np.arange(points, dtype="int32"), "x": grid, "_mass": mass})
-
-    schema = T.StructType(
-        [df.schema[k] for k in keys]
-        + [T.StructField("point", T.IntegerType()), T.StructField("x", T.DoubleType()), T.StructField("_mass", T.DoubleType())]
+    keys, v = list(panel.keys), F.col(panel.value)
+    nodes = fine * (points - 1)  # the last node's number
+    span = _span(df, panel).where("_n > 1 and _std > 0")
+    span = materialise(span.withColumn("_h", F.col("_std") * F.pow(F.col("_n").cast("double"), F.lit(-0.2))), "spans")
+    rows = attach(df.where(v.isNotNull()), span, keys, panel.value).where("_h is not null")
+    place = (v - F.col("_min")) / ((F.col("_max") - F.col("_min")) / nodes)
+    node = F.least(F.floor(place), F.lit(nodes)).cast("int")
+    rows = rows.select(*keys, node.alias("_i"), (place - node).alias("_w"))
+    mass = rows.groupBy(*keys, "_i").agg(F.sum(1 - F.col("_w")).alias("_a"), F.sum("_w").alias("_b"))
+    held = mass.groupBy(*keys).agg(F.collect_list(F.struct("_i", "_a", "_b")).alias("_mass"))  # at most one entry per node
+
+    @F.pandas_udf("array<double>")
+    def density(mass: pd.Series, low: pd.Series, high: pd.Series, width: pd.Series, size: pd.Series) -> pd.Series:
+        out = []
+        for entries, lo, hi, h, n in zip(mass, low, high, width, size):
+            weight = np.zeros(nodes + 2)
+            at = np.array([e["_i"] for e in entries])
+            np.add.at(weight, at, [e["_a"] for e in entries])
+            np.add.at(weight, at + 1, [e["_b"] for e in entries])
+            z = (hi - lo) / nodes * np.arange(-nodes, nodes + 1) / h
+            kernel = np.exp(-0.5 * z * z) / (n * h * np.sqrt(2 * np.pi))
+            out.append(np.convolve(weight[: nodes + 1], kernel)[nodes : 2 * nodes + 1 : fine].tolist())
+        return pd.Series(out)
+
+    made = attach(held, span, keys, keys).select(
+        *keys, "_min", "_max", F.posexplode(density("_mass", "_min", "_max", "_h", "_n")).alias("point", "density")
     )
-    return rows.mapInPandas(partial, schema).groupBy(*keys, "point").agg(F.max("x").alias("x"), F.sum("_mass").alias("density"))
+    return made.select(*keys, "point", (F.col("_min") + (F.col("_max") - F.col("_min")) / (points - 1) * F.col("point")).alias("x"), "density")
 
 
 def qq_points(df: DataFrame, panel: Panel = HOURLY, block: int = 4096) -> DataFrame:
