@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalogue import query
-from catalogue.base import grid, hourly, naive, plain, r, split, sql, view
+from catalogue.base import GRID, grid, hourly, naive, plain, r, split, sql, view
 from tidewatch.operators import metrics as m
 from tidewatch.operators.clean import clean
 from tidewatch.operators.chunks import chunk_window, chunked, own_rows
@@ -56,7 +56,7 @@ def forecast_error(spark, d):
     """Grid, filling, outlier capping, split, seasonal naive and metrics of the test split."""
     cleaned = clean(hourly(spark, d), with_position=True)
     test = temporal_split(cleaned).where("split = 'test'").drop("split")
-    return m.evaluate(m.seasonal_naive(test), prefix="test")
+    return m.evaluate(m.seasonal_naive(test, GRID), prefix="test")
 
 
 def _mase_sql(step: str) -> str:
@@ -90,7 +90,7 @@ def naive_models(spark, d):
     """Predictions of six naive models (one per lag), on the test rows of the grid."""
     w = chunk_window(HOURLY)
     lags = F.array(*[F.struct(F.lit(k).alias("k"), F.lag("demand", k).over(w).alias("predicted")) for k in NAIVE_LAGS])
-    rows = own_rows(chunked(grid(spark, d), HOURLY, max(NAIVE_LAGS)).withColumn("_l", lags))
+    rows = own_rows(chunked(grid(spark, d), GRID, max(NAIVE_LAGS)).withColumn("_l", lags))
     parts = temporal_split(rows).where("split = 'test'")
     return parts.select("series", "timestamp", F.col("demand").alias("actual"), F.explode("_l").alias("_p")).select(
         "series", "timestamp", "actual", F.concat(F.lit("naive_"), F.col("_p.k").cast("string")).alias("model"), "_p.predicted", "_p.k"
@@ -122,7 +122,7 @@ view("foldscores", f"""foldscores AS (SELECT series, 'naive_24' AS model, fold,
 
 def fold_scores(spark, d):
     g = grid(spark, d)
-    folds = cv_folds(m.seasonal_naive(g).withColumnRenamed("actual", "demand")).where("role = 'val'")
+    folds = cv_folds(m.seasonal_naive(g, GRID).withColumnRenamed("actual", "demand")).where("role = 'val'")
     return m.evaluate(folds.withColumn("model", F.lit("naive_24")), ("series", "model", "fold"), "demand")
 
 
@@ -140,4 +140,4 @@ def cv_metrics_naive(spark, d):
 @query("metric_table_by_user", sql(f"""SELECT series, n_predictions, {shown(NAMES)} FROM (SELECT series, count(*) AS n_predictions, {metric_sql()} FROM (
   SELECT series, demand AS actual, lag(demand, 24) OVER (PARTITION BY series ORDER BY timestamp) AS predicted FROM ug) WHERE predicted IS NOT NULL GROUP BY 1)""", "ug"))
 def metric_table_by_user(spark, d):
-    return m.evaluate(m.seasonal_naive(plain(spark, d, "user_id")))
+    return m.evaluate(m.seasonal_naive(plain(spark, d, "user_id"), GRID))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalogue import query
-from catalogue.base import DRIFT_DAY, DRIFT_FEATURES, drift_sides, naive, r, sql, table
+from catalogue import monitoring  # noqa: F401 - its views
+from catalogue.base import DRIFT_DAY, DRIFT_FEATURES, drift_sides, naive, r, sql, table, view
 from catalogue.detection import SEVERITY
 from catalogue.models import ONE, lagged
 from tidewatch.operators import anomaly as a
@@ -39,8 +40,8 @@ def stream_dedup(spark, d):
   {r('quantile_cont(value, 0.95)')} AS p95_ms, {r('quantile_cont(value, 0.99)')} AS p99_ms, {r('max(value)')} AS max_ms, {r('avg((value > 100)::INT) * 100')} AS sla_breach_pct
   FROM events GROUP BY 1""")
 def stream_latency(spark, d):
-    out = jobs.latency(event_stream(spark, d), "timestamp", "demand", sla_ms=100.0)
-    return jobs.run_to_table(out, new_path(spark, "latency"), keys=["window_start"])
+    counts = jobs.latency_counts(event_stream(spark, d), "timestamp", "demand")
+    return jobs.latency_from_counts(jobs.run_to_table(counts, new_path(spark, "latency"), keys=["window_start", "value"]), sla_ms=100.0)
 
 
 def _bodies(spark, d):
@@ -79,11 +80,41 @@ def stream_score(spark, d):
   SELECT series, timestamp, demand, abs(demand - avg(demand) OVER w) / (coalesce(stddev_samp(demand) OVER w, 1) + 1e-8) AS z FROM (
     SELECT event_type AS series, ts AS timestamp, value AS demand FROM events) WINDOW w AS (PARTITION BY series ORDER BY timestamp, demand ROWS BETWEEN 167 PRECEDING AND CURRENT ROW))""", digits=5)
 def stream_zscore(spark, d):
-    out = jobs.online_zscore(event_stream(spark, d).select("series", "timestamp", "demand"))
-    return jobs.run_to_table(out, new_path(spark, "zscore"), keys=["series", "seq"]).drop("seq")
+    stream = event_stream(spark, d).select("series", "timestamp", "demand")
+    return jobs.online_zscore(stream, new_path(spark, "zscore")).drop("seq")
 
 
-@query("stream_drift")
+@query("stream_to_predictions", sql(f"""SELECT series, 'ridge' AS model_name, count(*) AS n, count(DISTINCT event_id) AS n_requests, {r('avg(greatest(b0 + b1 * value, 0))', 5)} AS mean_predicted
+  FROM (SELECT event_id, event_type AS series, value FROM events) JOIN (SELECT series, regr_slope(y, x) AS b1, regr_intercept(y, x) AS b0 FROM (
+    SELECT series, demand AS y, lag(demand, 24) OVER (PARTITION BY series ORDER BY timestamp) AS x FROM g) WHERE x IS NOT NULL GROUP BY 1) USING (series) GROUP BY 1""", "g"), digits=5)
+def stream_to_predictions(spark, d):
+    """Requests scored as they come, into the predictions table, beside a first commit by a batch job."""
+    root = new_path(spark, "tables")
+    model = LinearForecaster(spread="event_id").fit(lagged(spark, d), ONE)
+    good, _ = payload.split_valid(payload.decode_predict(_bodies(spark, d)))
+    scored = jobs.score(good, model).select(
+        "series", F.col("event_id").cast("string").alias("request_id"), "timestamp", F.col("predicted").alias("predicted_demand"), F.lit("ridge").alias("model_name"))
+    stored = jobs.run_to_stored(scored, "predictions", root, "score")
+    return stored.groupBy("series", "model_name").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("request_id").alias("n_requests"), F.avg("predicted_demand").alias("mean_predicted"))
+
+
+view("dtrain", f"""dtrain AS (SELECT feature, min(value) AS lo, max(value) AS hi, count(*) AS n FROM dv WHERE side = 0 GROUP BY 1)""", "dv")
+_BIN = "CASE WHEN v < lo + b * w THEN b - 1 WHEN v >= lo + (b + 1) * w AND b < 9 THEN b + 1 ELSE b END"
+view("dweek", f"""dweek AS (SELECT feature, side, week, {_BIN} AS bin FROM (
+  SELECT feature, side, week, v, lo, (hi - lo) / 10 AS w, least(floor((v - lo) / ((hi - lo) / 10)), 9) AS b FROM (
+    SELECT feature, side, time_bucket(INTERVAL 7 DAYS, day, TIMESTAMP '1970-01-01') AS week, greatest(least(value, hi), lo) AS v, lo, hi FROM dvt JOIN dtrain USING (feature))))""",
+     "dtrain", "dvt")
+view("dvt", "dvt AS (" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, {c} AS value, l_shipdate::TIMESTAMP AS day, (l_shipdate >= TIMESTAMP '{DRIFT_DAY}')::INT AS side FROM lineitem" for c in DRIFT_FEATURES) + ")")
+
+
+@query("stream_drift", sql(f"""SELECT window_start, feature, {r('psi')} AS psi, psi > 0.1 AS is_drifted FROM (
+  SELECT window_start, feature, sum((a - e) * ln(a / e)) AS psi FROM (
+    SELECT week AS window_start, feature, coalesce(c, 0) / (total + 1e-8::DOUBLE) + 1e-8::DOUBLE AS a, coalesce(t, 0) / (n + 1e-8::DOUBLE) + 1e-8::DOUBLE AS e
+    FROM (SELECT week, feature, count(*) AS total FROM dweek WHERE side = 1 GROUP BY 1, 2) JOIN (SELECT feature, n, unnest(range(10)) AS bin FROM dtrain) USING (feature)
+    LEFT JOIN (SELECT week, feature, bin::BIGINT AS bin, count(*) AS c FROM dweek WHERE side = 1 GROUP BY 1, 2, 3) USING (week, feature, bin)
+    LEFT JOIN (SELECT feature, bin::BIGINT AS bin, count(*) AS t FROM dweek WHERE side = 0 GROUP BY 1, 2) USING (feature, bin)) GROUP BY 1, 2)""", "dweek"))
 def stream_drift(spark, d):
     """Line items as a stream, weekly bin counts against the training ranges, PSI of every week."""
     train, _ = drift_sides(spark, d)

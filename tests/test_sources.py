@@ -23,6 +23,16 @@ def test_csv_with_bad_numbers(spark, tmp_path):
     assert [(r.timestamp, r.demand, r.series) for r in rows] == [(at(0), 1.5, "one"), (at(1), None, "one")]
 
 
+def test_further_numbers_are_typed_and_become_features(spark, tmp_path):
+    from tidewatch.operators.features import feature_names
+
+    path = tmp_path / "three.csv"
+    path.write_text("timestamp,demand,temperature,open,note\n2022-01-01 00:00:00,1.5,3.5,true,x\n2022-01-01 01:00:00,2,,false,7\n")
+    df = readers.load(spark, str(path))
+    assert dict(df.dtypes)["temperature"] == "double" and dict(df.dtypes)["open"] == "boolean" and dict(df.dtypes)["note"] == "string"
+    assert feature_names(df) == ["temperature", "open"] and [r.temperature for r in df.orderBy("timestamp").collect()] == [3.5, None]
+
+
 def test_bad_time_raises(spark, tmp_path):
     path = tmp_path / "two.csv"
     path.write_text("timestamp,demand\nyesterday,1.5\n")

@@ -65,7 +65,7 @@ def test_online_zscore_equals_batch(spark, tmp_path):
     v[200] = 3000.0
     rows = [("a", at(i), x) for i, x in enumerate(v)]
     stream = feed(spark, str(tmp_path), rows[:100], rows[100:180], rows[180:])
-    out = jobs.run_to_table(jobs.online_zscore(stream), str(tmp_path / "out"), keys=["series", "seq"]).orderBy("timestamp").collect()
+    out = jobs.online_zscore(stream, str(tmp_path / "out"), HOURLY.on(chunk_rows=64)).orderBy("timestamp").collect()
     df = series(spark, v)
     batch = a.rolling_z(df, a.fit_rolling_z(df), HOURLY).orderBy("timestamp").collect()
     assert [r.z for r in out] == pytest.approx([r.z for r in batch], abs=1e-6)
@@ -89,8 +89,7 @@ def test_online_zscore_keeps_late_and_tied_rows(spark, tmp_path, mode):
     first = [("a", at(i), x) for i, x in enumerate(v[:120]) if i not in (118, 119)]
     second = [("a", at(118), v[118]), ("a", at(117), 7.0), ("a", at(117), 7.0), ("a", at(117.5), 55.0), ("b", at(117), 3.0), ("a", at(118), None)]
     third = [("a", at(i), x) for i, x in enumerate(v[120:], 120)] + [("a", at(119), v[119]), ("a", at(119), 12.0)]
-    job = jobs.online_zscore(feed(spark, str(tmp_path), first, second, third), mode=mode)
-    out = jobs.run_to_table(job, str(tmp_path / "out"), keys=["series", "seq"] if mode == "update" else None).collect()
+    out = jobs.online_zscore(feed(spark, str(tmp_path), first, second, third), str(tmp_path / "out"), mode=mode).collect()
     for name in ("a", "b"):
         want = _plain_z([(w, x) for s, w, x in first + second + third if s == name and x is not None])
         if mode == "append":
@@ -100,6 +99,45 @@ def test_online_zscore_keeps_late_and_tied_rows(spark, tmp_path, mode):
         assert [g[3] for g in got] == pytest.approx([w[2] for w in want], abs=1e-6)
 
 
+def test_latency_windows_over_several_batches(spark, tmp_path):
+    values = [[float(i * 37 % 101) for i in range(300)], [5.0] * 40 + [1000.0]]
+    batches = [[("a", at(0.5), v) for v in vs] for vs in values]
+    counts = jobs.latency_counts(feed(spark, str(tmp_path), *batches), "timestamp", "demand")
+    counts = jobs.run_to_table(counts, str(tmp_path / "out"), keys=["window_start", "value"])
+    row = jobs.latency_from_counts(counts, 100.0).first()
+    x = sorted(sum(values, []))
+    assert row["count"] == 341 and row.mean_ms == pytest.approx(statistics.fmean(x)) and row.max_ms == 1000.0
+    for got, p in ((row.p50_ms, 0.5), (row.p95_ms, 0.95), (row.p99_ms, 0.99)):
+        spot = p * (len(x) - 1)
+        assert got == pytest.approx(x[int(spot)] + (x[min(int(spot) + 1, len(x) - 1)] - x[int(spot)]) * (spot % 1))
+    assert row.sla_breach_pct == pytest.approx(sum(v > 100 for v in x) * 100 / len(x))
+
+
+def test_stream_and_appends_share_a_table(spark, tmp_path):
+    from tidewatch.sources import sinks
+
+    root = str(tmp_path / "tables")
+    stream = feed(spark, str(tmp_path), [("a", at(i), 1.0) for i in range(5)], [("a", at(i), 2.0) for i in range(3, 8)])
+    rows = jobs.run_to_stored(stream, "time_series_data", root, "intake")
+    got = {r.timestamp: r.demand for r in rows.collect()}
+    assert len(got) == 8 and got[at(2)] == 1.0 and got[at(3)] == 2.0  # the last commit of a (series, timestamp)
+    sinks.batch_writer("time_series_data", root, "intake")(series(spark, [7.0] * 5), 0)  # batch 0 once more
+    sinks.append(series(spark, [9.0]), "time_series_data", root)
+    got = {r.timestamp: r.demand for r in sinks.read_table(spark, "time_series_data", root).collect()}
+    assert len(got) == 8 and got[at(0)] == 9.0 and got[at(1)] == 7.0
+    assert sinks.commits(spark, "time_series_data", root).count() == 3
+
+
+def test_rows_without_a_log_entry_are_not_read(spark, tmp_path):
+    from tidewatch.sources import sinks
+
+    root = str(tmp_path / "tables")
+    sinks.append(series(spark, [1.0, 2.0]), "time_series_data", root)
+    half = sinks.conform(series(spark, [5.0]), "time_series_data").withColumn("date", F.to_date("timestamp"))
+    half.write.partitionBy("date").parquet(f"{root}/time_series_data/write=half")
+    assert [r.demand for r in sinks.read_table(spark, "time_series_data", root).orderBy("timestamp").collect()] == [1.0, 2.0]
+
+
 def test_detect_without_calibration(spark):
     df = spark.createDataFrame([("a", dt.datetime(2023, 1, 1), 900.0, 0.0), ("b", dt.datetime(2023, 1, 1), 100.0, None)],
                                "series string, timestamp timestamp, actual double, predicted double")

@@ -19,7 +19,7 @@ def check_columns(df: DataFrame, required, name: str = "DataFrame") -> None:
         raise ValueError(f"columns absent from {name}: {absent}")
 
 
-def enforce_schema(df: DataFrame, panel: Panel = HOURLY, name: str = "RawData") -> DataFrame:
+def enforce_schema(df: DataFrame, panel: Panel = HOURLY, name: str = "the series") -> DataFrame:
     """Required columns present, time parsed (bad time raises), value numeric (bad value is null).
 
     Time without a zone is UTC. Rows are not sorted: order is given to each
@@ -36,9 +36,17 @@ def enforce_schema(df: DataFrame, panel: Panel = HOURLY, name: str = "RawData")
     return df.select(*[made[c].alias(c) if c in made else F.col(c) for c in df.columns])
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header; every column as text except the two required ones, typed later."""
-    return spark.read.option("header", True).csv(path)
+def read_csv(spark: SparkSession, path: str, panel: Panel = HOURLY) -> DataFrame:
+    """CSV with a header. Further columns of numbers or truth values come typed, so that they can be features.
+
+    Key, time and value are read as text and typed later; a further column with anything else in it stays text. Types are those
+    Spark finds in all rows of the file, which costs one more pass over it.
+    """
+    found = spark.read.option("header", True).option("inferSchema", True).csv(path).schema
+    plain = (T.NumericType, T.BooleanType)
+    later = {*panel.keys, panel.ts, panel.value}
+    typed = [f if f.name not in later and isinstance(f.dataType, plain) else T.StructField(f.name, T.StringType()) for f in found]
+    return spark.read.option("header", True).schema(T.StructType(typed)).csv(path)
 
 
 def unpivot_wide(df: DataFrame, time_column: str, panel: Panel = HOURLY, per_hour: float = 4.0, decimal_comma: bool = True) -> DataFrame:
@@ -62,14 +70,14 @@ def load(spark: SparkSession, path: str, panel: Panel = HOURLY) -> DataFrame:
     """A series file by suffix: .csv, .txt / .tsv (wide), .parquet. A single series gets the key of its file."""
     suffix = os.path.splitext(path)[1].lower()
     if suffix == ".csv":
-        df = read_csv(spark, path)
+        df = read_csv(spark, path, panel)
     elif suffix in (".txt", ".tsv"):
         df = read_wide(spark, path, panel)
     elif suffix == ".parquet":
         df = spark.read.parquet(path)
     else:
         raise ValueError(f"no reader for files ending in {suffix!r}")
-    check_columns(df, (panel.ts, panel.value), "RawData")
+    check_columns(df, (panel.ts, panel.value), "the series")
     if "series" in panel.keys and "series" not in df.columns:
         name = os.path.splitext(os.path.basename(path))[0]
         df = df.withColumn("series", F.lit(name))

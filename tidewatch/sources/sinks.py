@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidewatch.schemas import ANOMALY_TABLE, METRICS_TABLE, PREDICTION_TABLE, SERIES_TABLE
 
@@ -35,22 +37,33 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     return df.select(*made)
 
 
-def append(df: DataFrame, table: str, root: str) -> None:
-    """Append rows to a table; dated tables are partitioned by the day of their timestamp."""
-    rows = conform(df, table)
+def commit(df: DataFrame, table: str, root: str, name: str) -> None:
+    """Write rows as the commit ``name`` of a table; a commit of that name is replaced.
+
+    A commit is a folder of its own (``write=<name>``, by day inside for dated tables); readers see it once its entry is in the table's log, which
+    is written last and in one step, so that no reader meets half a commit, and several writers, batch or stream, share one table. Rows are dealt by
+    day, and Spark splits a busy day by its size.
+    """
+    spark, rows = df.sparkSession, conform(df, table)
     if table in _DATED:
-        # one task per day would make a busy day hot, so a day is spread over sixteen files
-        rows = rows.withColumn("date", F.to_date("timestamp")).repartition("date", F.pmod(F.xxhash64("timestamp"), F.lit(16)))
-        rows.write.mode("append").partitionBy("date").parquet(f"{root}/{table}")
+        rows = rows.withColumn("date", F.to_date("timestamp")).hint("rebalance", "date")
+        rows.write.mode("overwrite").partitionBy("date").parquet(f"{root}/{table}/write={name}")
     else:
-        rows.write.mode("append").parquet(f"{root}/{table}")
+        rows.write.mode("overwrite").parquet(f"{root}/{table}/write={name}")
+    entry = spark.range(1).select(F.lit(name).alias("name"), F.current_timestamp().alias("committed_at"))
+    entry.coalesce(1).write.mode("overwrite").parquet(f"{root}/{table}/_log/commits/commit={name}")
+
+
+def append(df: DataFrame, table: str, root: str) -> None:
+    """Append rows to a table, as a commit of its own."""
+    commit(df, table, root, f"append-{uuid.uuid4().hex}")
 
 
-def batch_writer(table: str, root: str):
-    """A ``foreachBatch`` function that writes batch n once: a repeated batch replaces its own folder."""
+def batch_writer(table: str, root: str, stream: str = "stream"):
+    """A ``foreachBatch`` function: batch n of a stream is one commit, so a repeated batch replaces itself."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        conform(batch, table).write.mode("overwrite").parquet(f"{root}/{table}/batch={batch_id}")
+        commit(batch, table, root, f"{stream}-{batch_id}")
 
     return write
 
@@ -60,14 +73,33 @@ def unique_series(df: DataFrame) -> DataFrame:
     return df.dropDuplicates(["series", "timestamp"])
 
 
+def commits(spark: SparkSession, table: str, root: str) -> DataFrame:
+    """A table's log: ``write`` and ``committed_at`` of each commit."""
+    from tidewatch.sources.readers import _exists
+
+    log = f"{root}/{table}/_log/commits"
+    if not _exists(spark, log):
+        return spark.createDataFrame([], "write string, committed_at timestamp")
+    return spark.read.schema("name string, committed_at timestamp").parquet(log).select(F.col("name").alias("write"), "committed_at")
+
+
 def read_table(spark: SparkSession, table: str, root: str) -> DataFrame:
-    """All rows of a table; one never written to is empty."""
+    """All committed rows of a table; one never written to is empty.
+
+    The series table keeps one row per (series, timestamp): that of the last commit.
+    """
     from tidewatch.sources.readers import _exists
 
-    path = f"{root}/{table}"
-    if not _exists(spark, path):
-        return spark.createDataFrame([], TABLES[table])
-    return spark.read.parquet(path).select(*TABLES[table].names)
+    schema = TABLES[table]
+    log = commits(spark, table, root)
+    if not _exists(spark, f"{root}/{table}"):
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(T.StructType([*schema, T.StructField("write", T.StringType())])).parquet(f"{root}/{table}").join(log, "write")
+    if table != "time_series_data":
+        return rows.select(*schema.names)
+    others = [c for c in schema.names if c not in ("series", "timestamp")]
+    last = F.max_by(F.struct(*others), F.struct("committed_at", "write")).alias("_row")
+    return rows.groupBy("series", "timestamp").agg(last).select("series", "timestamp", "_row.*").select(*schema.names)
 
 
 def write_results(results: DataFrame, path: str, fmt: str = "csv") -> None:

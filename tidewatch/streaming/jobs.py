@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidewatch.functions.scalar import fallback_score, severity
+from tidewatch.operators.chunks import chunk_window, chunked, own_rows, rolling
 from tidewatch.operators.drift import _bin
-from tidewatch.operators.monitor import latency_columns
+from tidewatch.operators.joins import attach
+from tidewatch.operators.quantiles import ranked, running_counts
 from tidewatch.schemas import DRIFT_THRESHOLD, EPS, HOURLY, LATENCY_SLA_MS, RESIDUAL_MULTIPLIER, ROLLING_Z_WINDOW, ZSCORE_THRESHOLD, Panel
+from tidewatch.session import materialise
 from tidewatch.sources.payload import aligned
+from tidewatch.sources.sinks import batch_writer, read_table
 
 
 def file_stream(spark: SparkSession, folder: str, schema: T.StructType, name: str = "*.parquet", per_trigger: int | None = None) -> DataFrame:
@@ -72,76 +72,95 @@ def detect(requests: DataFrame, calibration: DataFrame | None = None, keys=("ser
 
 
 def online_zscore(
-    stream: DataFrame, panel: Panel = HOURLY, late: str = "2 hours", threshold: float = ZSCORE_THRESHOLD,
+    stream: DataFrame, path: str, panel: Panel = HOURLY, late: str = "2 hours", threshold: float = ZSCORE_THRESHOLD,
     window: int = ROLLING_Z_WINDOW, fit_std: float = 1.0, mode: str = "update",
 ) -> DataFrame:
-    """Rolling z-score over the last ``window`` values of each series, kept as state.
-
-    Rows stand in order of time, then value (ties are all kept); ``seq`` is a
-    row's place in its series. A row inside the watermark may still change the
-    scores after it, so state holds those rows beside the ``window - 1`` closed
-    values before them. In ``update`` mode a batch emits each score from its
-    first new row on, and a later batch's row replaces one of the same (series,
-    ``seq``); in ``append`` mode a row comes out once, when the watermark has
-    passed it. Only nulls and rows behind the watermark are left out. The score
-    is scaled by the threshold, as one row has no batch maximum.
+    """Rolling z-score over the last ``window`` values of each series, from a stream into the table under ``path``.
+
+    Rows stand in order of time, then value (ties are all kept); ``seq`` is a row's place in its series. Each micro-batch is joined with the
+    stored tail of the series (the rows still inside the watermark and the ``window - 1`` before them) and scored with the chunked row windows of
+    the batch operator: ranks come from ranges of (series, time), frames from chunks of ranks, so that no task holds a series, in a batch of
+    any size. A row inside the watermark may still change the scores after it. In ``update`` mode a batch writes each score from its first new
+    row on, and the last one of a (series, ``seq``) counts; in ``append`` mode a row is written once, when the watermark has passed it. Nulls, and
+    rows behind the watermark (the newest time of earlier batches less ``late``), are left out. A repeated batch starts from the
+    tail before it and replaces what it wrote. The score is scaled by the threshold, as one row has no batch maximum.
     """
-    keys, ts = list(panel.keys), panel.ts
-    out = T.StructType([stream.schema[k] for k in keys] + [
-        T.StructField(ts, T.TimestampType()), T.StructField("seq", T.LongType()), T.StructField("actual", T.DoubleType()),
-        T.StructField("z", T.DoubleType()), T.StructField("anomaly_score", T.DoubleType()), T.StructField("is_anomaly", T.BooleanType()),
-    ])
-    held = "closed long, mark long, history array<double>, at array<long>, value array<double>"
-    names, eps = ["_us", "_v"], EPS
-
-    def z_scores(series: np.ndarray, wanted: int) -> np.ndarray:
-        """Scores of the last ``wanted`` values, a block of frames at a time."""
-        padded = np.concatenate([np.full(window - 1, np.nan), series])[-(wanted + window - 1):]
-        frames = np.lib.stride_tricks.sliding_window_view(padded, window)
-        parts = [np.zeros(0)]
-        for start in range(0, wanted, 4096):
-            block = frames[start:start + 4096]
-            n = window - np.isnan(block).sum(axis=1)
-            mean = np.nansum(block, axis=1) / n
-            square = np.nansum((block - mean[:, None]) ** 2, axis=1)
-            std = np.where(n > 1, np.sqrt(square / np.maximum(n - 1, 1)), fit_std)
-            parts.append(np.abs(block[:, -1] - mean) / (std + eps))
-        return np.concatenate(parts)
-
-    def update(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        closed, frontier, history, at, value = state.get if state.exists else (0, None, [], [], [])
-        frames = [] if state.hasTimedOut else [b[names] for b in batches if len(b)]
-        new = pd.concat(frames) if frames else pd.DataFrame(columns=names)
-        new = new[new["_v"].notna() & (new["_us"] >= frontier if frontier is not None else True)]
-        us = np.concatenate([np.asarray(at, dtype=np.int64), new["_us"].to_numpy(dtype=np.int64)])
-        v = np.concatenate([np.asarray(value, dtype=float), new["_v"].to_numpy(dtype=float)])
-        order = np.lexsort((v, us))
-        fresh = (np.arange(len(us)) >= len(at))[order]
-        us, v = us[order], v[order]
-        now = state.getCurrentWatermarkMs()
-        mark = now * 1000 if now > 0 else frontier
-        done = int(np.searchsorted(us, mark, side="left")) if mark is not None else 0
-        low, high = (0, done) if mode == "append" else (int(fresh.argmax()) if fresh.any() else len(us), len(us))
-        if high > low:
-            z = z_scores(np.concatenate([np.asarray(history, dtype=float), v[:high]]), high - low)
-            made = pd.DataFrame({ts: pd.to_datetime(us[low:high], unit="us"), "seq": closed + np.arange(low, high), "actual": v[low:high]})
-            made["z"], made["anomaly_score"], made["is_anomaly"] = z, np.minimum(z / (threshold + eps), 1.0), z > threshold
-            for name, part in zip(reversed(keys), reversed(key)):
-                made.insert(0, name, part)
-            yield made
-        history = [*history, *v[:done].tolist()][-(window - 1):] if window > 1 else []
-        state.update((closed + done, mark, history, us[done:].tolist(), v[done:].tolist()))
-        if mode == "append" and done < len(us):
-            state.setTimeoutTimestamp(int(us[done]) // 1000 + 1)  # the watermark passes the oldest open row
-
-    rows = stream.withColumn("_us", F.unix_micros(ts)).withColumn("_v", F.col(panel.value).cast("double"))
-    return rows.withWatermark(ts, late).groupBy(*keys).applyInPandasWithState(update, out, held, mode, "EventTimeTimeout")
-
-
-def latency(stream: DataFrame, ts: str = "created_at", column: str = "latency_ms", length: str = "1 hour", late: str = "2 hours", sla_ms: float = LATENCY_SLA_MS) -> DataFrame:
-    """Latency summary per tumbling window."""
-    out = stream.withWatermark(ts, late).groupBy(F.window(ts, length).alias("_w")).agg(*latency_columns(column, sla_ms))
-    return out.select(F.col("_w.start").alias("window_start"), *[c for c in out.columns if c != "_w"])
+    if mode not in ("update", "append"):
+        raise ValueError(f"Unknown output mode: {mode}")
+    spark, keys, ts = stream.sparkSession, list(panel.keys), panel.ts
+    kinds = T.StructType([*[stream.schema[k] for k in keys], stream.schema[ts]])
+    tail = T.StructType([*kinds, T.StructField("_v", T.DoubleType()), T.StructField("seq", T.LongType())])
+    out = T.StructType([*kinds, *[T.StructField(c, k) for c, k in (
+        ("seq", T.LongType()), ("actual", T.DoubleType()), ("z", T.DoubleType()), ("anomaly_score", T.DoubleType()), ("is_anomaly", T.BooleanType()),
+    )]])
+    by_rank = panel.on(ts="_place", value="_v", full=True)
+    late_us = spark.range(1).select(F.unix_micros(F.lit("1970-01-01").cast("timestamp") + F.expr(f"interval {late}"))).first()[0]
+
+    def write(batch: DataFrame, number: int) -> None:
+        held, mark = spark.createDataFrame([], tail), None
+        if number:
+            held = spark.read.schema(tail).parquet(f"{path}/tail/{number - 1}")
+            mark = spark.read.parquet(f"{path}/mark/{number - 1}").first()[0]
+        us = F.unix_micros(ts)
+        new = batch.select(*keys, ts, F.col(panel.value).cast("double").alias("_v"), F.lit(None).cast("long").alias("seq")).where("_v is not null")
+        new = new if mark is None else new.where(us >= mark)
+        rows = materialise(ranked(held.unionByName(new), keys, [ts, "_v"], "_place"), "ranked")
+        newest = rows.agg(F.max(us)).first()[0]
+        open_from = mark if newest is None else max(newest - late_us, mark if mark is not None else newest - late_us)
+        closed = us < F.lit(open_from)
+        places = rows.groupBy(*keys).agg(
+            F.coalesce(F.min("seq"), F.lit(0)).alias("_base"), F.min(F.when(F.col("seq").isNull(), F.col("_place"))).alias("_first"),
+            F.count(F.when(closed, 1)).alias("_closed"), F.count(F.when(us < F.lit(mark), 1)).alias("_was_closed"),
+        )
+        places = materialise(places, "places")
+        scored = own_rows(rolling(chunked(rows.drop("seq"), by_rank, window - 1), chunk_window(by_rank), "_v", [window], ["mean", "std"]))
+        scored = attach(scored, places, keys, "_place")
+        z = F.abs(F.col("_v") - F.col(f"_mean_{window}")) / (F.coalesce(F.col(f"_std_{window}"), F.lit(float(fit_std))) + F.lit(EPS))
+        wanted = F.col("_place") >= F.col("_first") if mode == "update" else (F.col("_place") >= F.col("_was_closed")) & (F.col("_place") < F.col("_closed"))
+        made = scored.where(wanted).withColumn("z", z).select(
+            *keys, ts, (F.col("_base") + F.col("_place")).alias("seq"), F.col("_v").alias("actual"), "z",
+            F.least(F.col("z") / F.lit(threshold + EPS), F.lit(1.0)).alias("anomaly_score"), (F.col("z") > threshold).alias("is_anomaly"),
+        )
+        made.write.mode("overwrite").parquet(f"{path}/table/_batch={number}")
+        kept = attach(rows.drop("seq"), places, keys, "_place").where(F.col("_place") >= F.col("_closed") - (window - 1))
+        kept.select(*keys, ts, "_v", (F.col("_base") + F.col("_place")).alias("seq")).write.mode("overwrite").parquet(f"{path}/tail/{number}")
+        spark.createDataFrame([(open_from,)], "mark long").coalesce(1).write.mode("overwrite").parquet(f"{path}/mark/{number}")
+
+    spark.createDataFrame([], out).write.mode("overwrite").parquet(f"{path}/table/_batch=-1")
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{path}/progress")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return latest(spark, f"{path}/table", out, [*keys, "seq"])
+
+
+def latency_counts(stream: DataFrame, ts: str = "created_at", column: str = "latency_ms", length: str = "1 hour", late: str = "2 hours") -> DataFrame:
+    """Rows per tumbling window and distinct latency: state that is spread over tasks by value and merges by adding."""
+    rows = stream.where(F.col(column).isNotNull()).withWatermark(ts, late)
+    out = rows.groupBy(F.window(ts, length).alias("_w"), F.col(column).cast("double").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    return out.select(F.col("_w.start").alias("window_start"), "value", "n")
+
+
+def latency_from_counts(counts: DataFrame, sla_ms: float = LATENCY_SLA_MS) -> DataFrame:
+    """Latency summary per window from finished counts (batch side of the latency monitor); percentiles are exact.
+
+    Ranks are running totals over ranges of (window, value), so that one window's values are many tasks' work.
+    """
+    v, n = F.col("value"), F.col("n")
+    totals = materialise(counts.groupBy("window_start").agg(
+        F.sum("n").alias("count"), (F.sum(v * n) / F.sum(n)).alias("mean_ms"), F.max(v).alias("max_ms"),
+        (F.sum(F.when(v > sla_ms, n).otherwise(0)) * 100 / F.sum(n)).alias("sla_breach_pct"),
+    ), "totals")
+    rows = attach(running_counts(counts, ["window_start"], "value", ["n"]), totals.select("window_start", "count"), ["window_start"], "value")
+    points = {"p50_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}
+    picks = []
+    for name, p in points.items():
+        spot = F.lit(p) * (F.col("count") - 1)
+        picks += [F.min(F.when(F.col("cum_n") > F.floor(spot), v)).alias(f"_lo_{name}"), F.min(F.when(F.col("cum_n") > F.ceil(spot), v)).alias(f"_hi_{name}")]
+    found = rows.groupBy("window_start").agg(*picks).join(totals, "window_start")
+    made = []
+    for name, p in points.items():
+        spot = F.lit(p) * (F.col("count") - 1)
+        made.append((F.col(f"_lo_{name}") + (F.col(f"_hi_{name}") - F.col(f"_lo_{name}")) * (spot - F.floor(spot))).alias(name))
+    return found.select("window_start", "count", "mean_ms", *made, "max_ms", "sla_breach_pct")
 
 
 def drift_baseline(train: DataFrame, features, bins: int = 10, eps: float = EPS) -> DataFrame:
@@ -201,9 +220,23 @@ def run_to_table(stream: DataFrame, path: str, mode: str = "append", keys=None)
             lambda rows, batch: rows.write.mode("overwrite").parquet(f"{table}/_batch={batch}")
         )
     writer.option("checkpointLocation", f"{path}/progress").trigger(availableNow=True).start().awaitTermination()
-    if keys is None:
-        return spark.read.schema(schema).parquet(table)
+    return spark.read.schema(schema).parquet(table) if keys is None else latest(spark, table, schema, keys)
+
+
+def latest(spark: SparkSession, table: str, schema: T.StructType, keys) -> DataFrame:
+    """The last written row of each key, from a table with one folder per micro-batch."""
     rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("_batch", T.LongType())])).parquet(table)
-    others = [c for c in stream.columns if c not in keys]
+    others = [c for c in schema.names if c not in keys]
     last = rows.groupBy(*keys).agg(F.max_by(F.struct(*others), "_batch").alias("_last"))
-    return last.select(*[F.col(f"_last.{c}").alias(c) if c in others else F.col(c) for c in stream.columns])
+    return last.select(*[F.col(f"_last.{c}").alias(c) if c in others else F.col(c) for c in schema.names])
+
+
+def run_to_stored(stream: DataFrame, table: str, root: str, name: str) -> DataFrame:
+    """Process everything available into one of the result tables, and read that back.
+
+    Each micro-batch is one commit of the table, named by the stream and its number: a repeated batch replaces itself, and other
+    writers may append meanwhile.
+    """
+    writer = stream.writeStream.foreachBatch(batch_writer(table, root, name)).option("checkpointLocation", f"{root}/progress/{name}")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return read_table(stream.sparkSession, table, root)
