@@ -188,6 +188,30 @@ def test_surrogates_leave_no_part_of_a_secret(spark):
     assert set(got[1].text.split('"')[1]) <= set("0123456789ABCDEF")
 
 
+def test_suffix_texts_of_one_id_with_one_hash(spark, monkeypatch):
+    """A hash that cannot tell two texts of one id apart is seen, and another seed taken; hot ids and repeated rows included."""
+    plain = suffix.hashed
+    monkeypatch.setattr(suffix, "hashed", lambda body, seed: suffix.F.lit(7).cast("long") if seed == 1 else plain(body, seed))
+    rng = random.Random(12)
+    draw = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    shared, texts = draw(260), [draw(rng.randint(3, 700)) for _ in range(40)]
+    texts += [texts[3] + shared, shared, "x", texts[5], texts[5]]
+    rows = [(None if i % 3 else 9, t) for i, t in enumerate(texts)]
+    got = suffix.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = suffix.brute_force([t.encode() for t in texts])
+    assert sorted((r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in got) == sorted(want)
+
+
+def test_surrogates_of_all_short_names(spark):
+    """Every two-letter name there is: no surrogate is a real name or given twice."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    names = [a.upper() + b for a in letters for b in letters]
+    docs = spark.createDataFrame([(i, f"Mr {n} said so, and Mr {n} left") for i, n in enumerate(names)], "doc_id long, text string")
+    texts = [r.text for r in surrogates.replace(docs, "k").collect()]
+    found = [t.split()[1] for t in texts]
+    assert all(t == f"Mr {n} said so, and Mr {n} left" for t, n in zip(texts, found)) and len(set(found)) == len(names) and not set(found) & set(names)
+
+
 def test_embeddings_of_one_tight_group(spark):
     rng = np.random.default_rng(4)
     x = rng.normal(size=16) + rng.normal(size=(600, 16)) * 0.15

@@ -15,16 +15,17 @@ across them, so no group has to fit in a task. Equality is by 128 bits of hashes
 the cells and for the result.
 
 Bytes are UTF-8, null text is empty, matches do not cross documents, and texts shorter than ``depth`` have none. Rows are told
-apart by ``doc_id`` and a checksum of the text, so repeated rows repeat each other. Other columns are ignored.
+apart by ``doc_id`` and a hash of the text that is checked to tell the texts of one id apart, so repeated rows repeat each other. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewatch.llm.common import ready, table
 from tidewatch.llm.text import blocks, mix, raw
@@ -181,7 +182,7 @@ def deepest(pieces: DataFrame, depth: int) -> DataFrame:
     return pieces.mapInArrow(run, f"doc_id {kind}, crc long, lo long, hi long, digit long, window long, state int")
 
 
-def repeated_spans(docs: DataFrame, depth: int = DEPTH, digit: int = DIGIT) -> DataFrame:
+def repeated_spans(docs: DataFrame, depth: int, digit: int, repeats: bool) -> DataFrame:
     """``doc_id``, ``crc``, ``lo``, ``hi``: byte spans that repeated windows cover; they may overlap."""
     all_cells = materialise(find_cells(docs, depth, digit), "cells")
     shared = all_cells.groupBy("digit").agg(F.count("*").alias("m")).where("m > 1")
@@ -196,7 +197,7 @@ def repeated_spans(docs: DataFrame, depth: int = DEPTH, digit: int = DIGIT) -> D
     salt = F.when(F.col("m") > GROUP, F.pmod(F.xxhash64("doc_id", "first"), F.ceil(F.col("m") / (GROUP // 2))).cast("int")).otherwise(F.lit(-1))
     spots = open_.groupBy("doc_id", "crc").agg(F.collect_list(F.struct("first", "last", "digit", salt.alias("salt"))).alias("spots"))
     spots = spots.select(F.col("doc_id").alias("_id"), F.col("crc").alias("_crc"), "spots")
-    found = docs.dropDuplicates(["doc_id", "crc"]) if has_repeats(docs) else docs
+    found = docs.dropDuplicates(["doc_id", "crc"]) if repeats else docs
     found = found.join(spots.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("crc") == F.col("_crc")))
     dealt = cell_bytes(found, depth)
     dealt = dealt.repartition("digit", "salt").sortWithinPartitions("digit", "salt")
@@ -206,18 +207,32 @@ def repeated_spans(docs: DataFrame, depth: int = DEPTH, digit: int = DIGIT) -> D
     return whole.unionByName(told.where("state = 1").select("doc_id", "crc", "lo", "hi")).unionByName(late)
 
 
-def has_repeats(docs: DataFrame) -> bool:
-    """Whether two rows have one id and one text."""
-    return docs.groupBy("doc_id", "crc").count().where("count > 1").limit(1).count() > 0
+def keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """``doc_id, crc, text``, and whether two rows have one id and one text.
+
+    ``crc`` is a 64-bit hash that tells the texts of one id apart: where two of them, by their MD5, share it, another seed is taken.
+    """
+    body = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    for seed in itertools.count(1):
+        made = docs.select("doc_id", hashed(body, seed).alias("crc"), body.alias("text"))
+        told = made.select("doc_id", "crc", F.md5(F.col("text").cast("binary")).alias("whole"))
+        again = told.groupBy("doc_id", "crc").agg(F.count(F.lit(1)).alias("n"), F.min("whole").alias("a"), F.max("whole").alias("b")).where("n > 1")
+        state = again.agg(F.count(F.lit(1)), F.count(F.when(F.col("a") != F.col("b"), 1))).first()
+        if not state[1]:
+            return made, state[0] > 0
+
+
+def hashed(body: Column, seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), body)
 
 
 def without_repeats(docs: DataFrame, depth: int = DEPTH, digit: int = DIGIT) -> DataFrame:
     """Per row ``doc_id``, ``kept`` (the bytes left), ``n_bytes``, ``n_removed``, ``n_spans``."""
     ready(docs.sparkSession)
-    body = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    docs = docs.select("doc_id", F.crc32(body.cast("binary")).alias("crc"), body.alias("text"))
-    spans = materialise(repeated_spans(docs, depth, digit), "spans")
-    spans = spans.groupBy("doc_id", "crc").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    docs, repeats = keyed(docs)
+    spans = materialise(repeated_spans(docs, depth, digit, repeats), "spans")
+    # equal rows have equal spans
+    spans = (spans.distinct() if repeats else spans).groupBy("doc_id", "crc").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     spans = spans.select(F.col("doc_id").alias("_id"), F.col("crc").alias("_crc"), "spans")
     both = docs.join(spans.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("crc") == F.col("_crc")), "left")
 

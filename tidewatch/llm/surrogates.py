@@ -1,8 +1,8 @@
 """Keyed surrogates for personal data, in DataFrame functions only.
 
 E-mail addresses, phone numbers, IPv4 addresses, payment cards, IBANs, US social security numbers, secrets after words such as
-``password=`` in any case, whatever their length, and names after a title are found by patterns, and each is replaced by one of its own type: same length and signs,
-digit for digit, letter for letter of the same case and script, hexadecimal staying hexadecimal, a card number with a valid
+``password=`` in any case, whatever their length, and names after a title are found by patterns, and each is replaced by one of its own type: same length (but for e-mail and IP addresses, and
+names whose first surrogate clashes) and signs, digit for digit, letter for letter of the same case and script, hexadecimal staying hexadecimal, a card number with a valid
 check digit, a first name of the gender the title tells. A replacement depends on the secret key, the type and the entity
 without its formatting, so one entity has one surrogate everywhere, however it is written.
 
@@ -90,7 +90,7 @@ def pick(seed: Column, place: Column, n) -> Column:
 
 def scrambled(value: Column, seed: Column) -> Column:
     """Another value of the same form: each digit and letter by the seed and its place; all else stays."""
-    hexadecimal = value.rlike("^([0-9a-f]*|[0-9A-F]*)$") & value.rlike("[A-Fa-f]")
+    hexadecimal = value.rlike("^([0-9a-f]*|[0-9A-F]*)$") & value.rlike("[A-Fa-f]") & value.rlike("[0-9]")
 
     def one(c, i):
         out = c
@@ -118,11 +118,15 @@ def surrogate(kind: Column, gender: Column, value: Column, turn: Column, key: st
     named = lambda names: F.get(F.array(*[F.lit(x.lower()) for x in names]), pick(seed, F.lit(1), len(names)))
     first = F.when(gender == "f", named(FEMALE)).when(gender == "m", named(MALE)).otherwise(named(EITHER))
     given = F.when(value.rlike("^[\\x00-\\x7F]*$"), first).otherwise(scrambled(F.split(value, " ")[0], seed))
-    family = scrambled(F.element_at(F.split(value, " "), -1), F.concat(seed, F.lit("f")))
+    last = F.element_at(F.split(value, " "), -1)
+    # a name that clashed gets a letter more each turn, so that there is room for any number of short names
+    family = scrambled(F.concat(last, F.repeat(F.right(last, F.lit(1)), turn)), F.concat(seed, F.lit("f")))
     name = F.when(value.contains(" "), F.concat(given, F.lit(" "), family)).otherwise(family)
     domain = F.sha2(F.concat_ws("|", F.lit(key), F.lit("domain"), F.element_at(F.split(value, "@"), -1)), 256)
     email = F.concat(scrambled(F.split(value, "@")[0], seed), F.lit("@site"), F.substring(domain, 1, 8), F.lit(".example"))
-    ip = F.concat_ws(".", F.lit("10"), *[pick(seed, F.lit(i), 256).cast("string") for i in range(3)])
+    # a private block first, then the blocks kept for later use
+    block = F.when(turn == 0, F.lit(10)).otherwise(240 + pick(seed, F.lit(3), 15))
+    ip = F.concat_ws(".", block.cast("string"), *[pick(seed, F.lit(i), 256).cast("string") for i in range(3)])
     digits = scrambled(value, seed)
     # the country code of a phone number stays
     return F.when(kind == "name", name).when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", with_check_digit(digits)).when(
@@ -147,7 +151,7 @@ def found(docs: DataFrame) -> DataFrame:
     body = F.col("text").cast("string")
     maybe = body.rlike(MAYBE)
     rows = docs.select(
-        "doc_id", F.crc32(body.cast("binary")).alias("crc"), body.alias("text"),
+        "doc_id", F.md5(body.cast("binary")).alias("crc"), body.alias("text"),
         F.when(maybe, F.regexp_extract_all(body, F.lit(ANY), F.lit(0))).otherwise(F.array()).alias("hits"),
     )
     rows = rows.withColumn("rest", F.when(F.size("hits") > 0, F.split("text", ANY, -1)).otherwise(F.array()))
