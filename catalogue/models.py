@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from catalogue import query
 from catalogue.accuracy import NAMES, metric_sql, shown
-from catalogue.base import DAILY_GRID, GRID, VIEWS, daily_grid, grid, plain, r, split, sql, view
+from catalogue.base import DAILY_GRID, GRID, VIEWS, daily_grid, grid, plain, r, split, sql, table, view
 from tidewatch.operators import models as mo
 from tidewatch.operators.features import build_features, feature_names, lag_features
 from tidewatch.operators.forecast import SequenceForecaster, naive_forecast
 from tidewatch.operators.metrics import evaluate
-from tidewatch.schemas import HOURLY
+from tidewatch.plans.training import run
+from tidewatch.schemas import DAILY, HOURLY
 from tidewatch.session import materialise, new_path
 
 ONE = ["demand_lag_24h"]
@@ -242,3 +243,15 @@ FROM (SELECT series, max(timestamp) AS hi, max(n) AS n FROM ug GROUP BY 1) CROSS
 JOIN (SELECT series, pos, demand FROM ug) USING (series) WHERE n >= 24 AND pos = n - 24 + (step - 1) % 24""", "ug"))
 def multi_step_naive_by_user(spark, d):
     return naive_forecast(grid(spark, d, "user_id"), 48)
+
+
+@query("training_run")
+def training_run(spark, d):
+    """The whole training run on a daily panel of some 17,500 rows: the ranking of its linear models, with their folds' errors."""
+    li = table(spark, d, "lineitem")
+    raw = li.groupBy(F.col("l_linenumber").cast("string").alias("series"), F.col("l_shipdate").cast("timestamp").alias("timestamp")).agg(F.sum("l_quantity").alias("demand"))
+    out = new_path(spark, "training")
+    models = [mo.LinearForecaster(k) for k in ("linear_regression", "ridge", "lasso")]
+    run(raw, out, DAILY, models=models, carry_history=True)
+    folds = spark.read.parquet(f"{out}/cv").groupBy("model").agg(F.avg("cv_rmse_mean").alias("cv_rmse"))
+    return spark.read.parquet(f"{out}/ranking").join(folds, "model")

@@ -31,6 +31,7 @@ def default_models(panel: Panel = HOURLY) -> list:
 def run(
     raw: DataFrame, out: str, panel: Panel = HOURLY, models: list | None = None, run_explore: bool = True,
     run_cv: bool = True, select_on: str = "test", forest: IsolationForest | None = None, version: str = "1.0.0",
+    carry_history: bool = False,
 ) -> dict:
     """Train on ``raw`` and write every table under ``out``. Returns a small summary.
 
@@ -38,7 +39,8 @@ def run(
     the feature matrix are written once and read by each later pass. A model
     that fails is recorded with its error and the run goes on. The best model
     (per run, over all series) is picked on the test split, as observed, or on
-    ``select_on="val"``.
+    ``select_on="val"``. Each split loses its look-back rows, as observed,
+    unless ``carry_history``, which short panels need to have test rows.
     """
     started = time.time()
     spark = raw.sparkSession
@@ -54,7 +56,7 @@ def run(
     parts = temporal_split(cleaned.drop("is_outlier"), panel)
     sinks.save_fitted(fit_scaler(parts.where("split = 'train'"), panel), f"{out}/scaler")
 
-    matrix = build_features(parts, panel.on(full=True))  # cleaning made the grid
+    matrix = build_features(parts, panel.on(full=True), carry_history=carry_history)  # cleaning made the grid
     names = feature_names(matrix, panel)
     matrix = materialise(matrix.withColumn("target", F.col(panel.value)), "matrix")
     train, trainval = matrix.where("split = 'train'"), matrix.where("split in ('train', 'val')")
