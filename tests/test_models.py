@@ -169,3 +169,26 @@ def test_decompose_needs_two_periods(spark):
     assert explore.seasonal_decompose(series(spark, wave(300))).count() == 0
     out = explore.seasonal_decompose(series(spark, wave(400)), HOURLY.on(chunk_rows=100))
     assert out.count() == 400 and out.where("trend is null or residual is null").count() == 0
+
+
+def test_products_of_a_hot_key_and_of_tiny_ones(spark):
+    """Few rows of a key travel as rows, many as one array; the sums are the same."""
+    rng = np.random.default_rng(5)
+    names = ["hot"] * 900 + [f"k{i % 80}" for i in range(150)] + [None] * 3
+    rows = [(k, *map(float, r)) for k, r in zip(names, rng.normal(size=(len(names), 3)))]
+    df = spark.createDataFrame(rows, "k string, a double, b double, y double").repartition(3)
+    got = {r.k: np.array(r.products) for r in mo.sum_products(df, ["k"], ["a", "b"], "y").collect()}
+    assert len(got) == 82
+    for k, products in got.items():
+        z = np.array([[1.0, *r[1:]] for r in rows if r[0] == k])
+        assert products == pytest.approx((z.T @ z)[np.triu_indices(4)])
+
+
+def test_binned_density_is_close_to_the_direct_sum(spark):
+    v = np.array(wave(300))
+    got = explore.kde(series(spark, v.tolist())).orderBy("point").collect()
+    h = v.std(ddof=1) * len(v) ** -0.2
+    x = np.linspace(v.min(), v.max(), 200)
+    direct = np.exp(-0.5 * ((x[:, None] - v) / h) ** 2).sum(1) / (len(v) * h * np.sqrt(2 * np.pi))
+    assert [r.x for r in got] == pytest.approx(x.tolist())
+    assert np.abs(np.array([r.density for r in got]) - direct).max() < 1e-3 * direct.max()
