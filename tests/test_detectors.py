@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tests.frames import series, wave
 from tidewatch.functions.scalar import fallback_score, psi_level, severity
 from tidewatch.operators import anomaly as a
-from tidewatch.operators import drift
+from tidewatch.operators import drift, monitor
 from tidewatch.operators.iforest import IsolationForest, tree_samples
 from tidewatch.schemas import HOURLY
 
@@ -128,3 +128,17 @@ def test_few_values_are_skipped(spark):
     few = spark.createDataFrame([(float(i),) for i in range(9)], "v double")
     many = spark.createDataFrame([(float(i),) for i in range(50)], "v double")
     assert drift.drift_report(few, many).count() == 0
+
+
+def test_default_date_range_reaches_the_scan(spark, tmp_path):
+    df = series(spark, [float(i) for i in range(24 * 40)])
+    path = str(tmp_path / "panel")
+    df.write.parquet(path)
+    stored = spark.read.parquet(path)
+    out = monitor.date_range(stored, days=3)
+    assert out.count() == 4 * 24 and out.agg(F.min("demand")).first()[0] == 36 * 24.0
+    scan = out._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(timestamp" in scan.split("PushedFilters:")[1].split("]")[0] and "Join" not in scan
+    assert monitor.date_range(stored, start="2022-02-08").count() == 2 * 24
+    assert monitor.date_range(df.where("false")).count() == 0
+    assert monitor.date_range(spark.createDataFrame([("a", None, 1.0)], df.schema)).count() == 0

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.frames import START, at, series, values, wave
-from tidewatch.operators.chunks import chunk_window, chunked, own_rows, positions, rolling
+from tidewatch.operators.chunks import across_chunks, chunk_window, chunked, own_rows, positions, rolling
 from tidewatch.operators.grid import gap_islands, missing_timestamps, regularise
 from tidewatch.operators.split import assert_no_leak, cv_folds, temporal_split
 from tidewatch.schemas import HOURLY
@@ -148,3 +148,39 @@ def test_folds_match_the_public_definition(spark):
         start = 120 - (5 - i) * 20
         assert got[(i, "val")] == (20, at(start), at(start + 19))
         assert got[(i, "train")] == (start - 4, START, at(start - 5))
+
+
+def test_summaries_of_a_hundred_thousand_chunks(spark):
+    """Against one plain window per series; no task of the two levels holds more than a group or one row per group."""
+    rows = spark.range(100_000).select(
+        F.when(F.col("id") < 99_000, "hot").otherwise("small").alias("series"), (F.col("id") * 3 - 1000).alias("_chunk"),
+        F.when(F.col("id") % 700 == 5, F.col("id")).alias("v"), (F.col("id") % 7).alias("c"),
+    )
+    wanted = {"first": ("min", "_chunk"), "last": ("max", "_chunk"), "n": ("sum", "c"), "before": ("before", "c"),
+              "left": ("last_before", "v"), "right": ("first_after", "v")}
+    found = across_chunks(rows, ["series"], 256, wanted)
+    by = "over (partition by series order by _chunk"
+    whole = "over (partition by series)"
+    plain = rows.selectExpr(
+        "*", f"min(_chunk) {whole} as first", f"max(_chunk) {whole} as last", f"sum(c) {whole} as n",
+        f"coalesce(sum(c) {by} rows between unbounded preceding and 1 preceding), 0) as before",
+        f"lag(v) ignore nulls {by}) as left", f"lead(v) ignore nulls {by}) as right",
+    )
+    assert found.columns == plain.columns
+    assert found.count() == 100_000
+    assert found.exceptAll(plain).isEmpty()
+
+
+def test_one_series_is_spread_over_tasks(spark):
+    """Groups of one series lie in several partitions, whole groups in one, also where nothing is broadcast."""
+    rows = spark.range(100_000).selectExpr("'a' as series", "id as _chunk", "id as c")
+    found = across_chunks(rows, ["series"], 2048, {"before": ("before", "c")})
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    try:
+        held = found.select(F.floor(F.col("_chunk") / 2048).alias("g"), F.spark_partition_id().alias("p")).distinct().collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", True)
+    assert len(held) == len({r.g for r in held}) == 49
+    assert len({r.p for r in held}) > 1

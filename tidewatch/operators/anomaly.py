@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewatch.functions.scalar import fallback_score, severity
-from tidewatch.operators.chunks import chunk_window, chunked, join_by_chunk, rolling
+from tidewatch.operators.chunks import chunk_window, chunked, rolling
 from tidewatch.operators.joins import attach
 from tidewatch.schemas import EPS, HOURLY, RESIDUAL_MULTIPLIER, ROLLING_Z_WINDOW, ZSCORE_THRESHOLD, Panel
+from tidewatch.session import materialise
 
 RESULT = ("timestamp", "actual", "predicted", "anomaly_score", "is_anomaly", "severity", "method")
 
@@ -40,8 +41,8 @@ def rolling_z(
     the row is alone in it, and there the row is its own mean: the fitted
     deviation that stands in leaves z at 0 whatever it is, so no join is made
     for it. Scores are scaled by the largest z of the series in this batch (at
-    least the threshold). That maximum is taken per chunk, then over a series'
-    chunks, and joins back by chunk: rows are not shuffled again.
+    least the threshold). Rows with their z are stored, so that the windows run
+    once for the maximum and for the result.
     """
     keys = list(panel.keys)
     if fitted is None:
@@ -50,25 +51,16 @@ def rolling_z(
     rows = rows.where("_own").drop("_own")
     z = F.abs((F.col(panel.value) - F.col(f"_mean_{window}")) / (F.coalesce(F.col(f"_std_{window}"), F.lit(1.0)) + EPS))
     rows = rows.withColumn("z", z).drop(f"_mean_{window}", f"_std_{window}")
-    rows = with_extremes(rows, keys, z_top=F.max("z"))
+    rows = materialise(rows.drop("_chunk"), "z")
+    rows = attach(rows, rows.groupBy(*keys).agg(F.max("z").alias("z_top")), keys, panel.ts)
     top = F.greatest(F.col("z_top"), F.lit(threshold + EPS))
     return (
         rows.withColumn("z_score", F.least(F.col("z") / top, F.lit(1.0)))
         .withColumn("z_flag", F.col("z") > threshold)
-        .drop("z_top", "_chunk")
+        .drop("z_top")
     )
 
 
-def with_extremes(rows: DataFrame, keys, **extremes: Column) -> DataFrame:
-    """Add the max / min over a whole series to rows that carry ``_chunk``."""
-    keys = list(keys)
-    per_chunk = rows.groupBy(*keys, "_chunk").agg(*[c.alias(n) for n, c in extremes.items()])
-    whole = Window.partitionBy(*keys)
-    largest = lambda n: F.max(n) if n.endswith("top") else F.min(n)
-    per_chunk = per_chunk.select(*keys, "_chunk", *[largest(n).over(whole).alias(n) for n in extremes])
-    return join_by_chunk(rows, per_chunk, keys, how="left")
-
-
 def zscore_anomalies(df: DataFrame, fitted: DataFrame, panel: Panel = HOURLY, threshold: float = ZSCORE_THRESHOLD, window: int = ROLLING_Z_WINDOW) -> DataFrame:
     rows = rolling_z(df, fitted, panel, threshold, window)
     return rows.select(*result_columns(panel.keys, panel.ts, panel.value, None, "z_score", "z_flag", "zscore"))

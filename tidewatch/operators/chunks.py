@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidewatch.schemas import Panel
+from tidewatch.session import materialise
 
 
 def axis_of(df: DataFrame, panel: Panel) -> tuple[Column, int]:
@@ -83,7 +84,7 @@ def positions(df: DataFrame, panel: Panel) -> DataFrame:
     """Add ``pos`` (0-based rank along the axis) and ``n`` (rows of the series).
 
     Ranks come from row counts per chunk: the running total over a series'
-    chunks (one small row each) plus the rank inside the chunk.
+    chunks plus the rank inside the chunk.
     """
     return _ranked(df, panel, "pos", "n")
 
@@ -92,21 +93,70 @@ def _ranked(df: DataFrame, panel: Panel, pos: str, n: str) -> DataFrame:
     axis, step = axis_of(df, panel)
     rows = df.withColumn("_chunk", chunk_of(axis, step, panel.chunk_rows))
     keys = list(panel.keys)
-    order = Window.partitionBy(*keys).orderBy("_chunk")
-    counts = (
-        rows.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_count"))
-        .withColumn("_before", F.sum("_count").over(order.rowsBetween(Window.unboundedPreceding, -1)))
-        .withColumn(n, F.sum("_count").over(Window.partitionBy(*keys)))
-        .select(*keys, "_chunk", F.coalesce("_before", F.lit(0)).alias("_before"), n)
-    )
+    counts = materialise(rows.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_count")), "chunks")
+    counts = across_chunks(counts, keys, panel.chunk_rows, {"_before": ("before", "_count"), n: ("sum", "_count")})
     rank = F.row_number().over(chunk_window(panel)) - 1
     return (
-        join_by_chunk(rows, counts, keys)
+        join_by_chunk(rows, counts.drop("_count"), keys)
         .withColumn(pos, F.col("_before") + rank)
         .drop("_before", "_chunk")
     )
 
 
+# ---------------------------------------------------------------- summaries of chunks
+
+_WHOLE = {"before": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
+
+
+def _nearest(function: str, column: str, keys, order: str) -> Column:
+    by = ", ".join(f"`{k}`" for k in keys)
+    return F.expr(f"{function}(`{column}`) ignore nulls over (partition by {by} order by `{order}`)")
+
+
+def across_chunks(per_chunk: DataFrame, keys, group: int, wanted: dict[str, tuple[str, str]]) -> DataFrame:
+    """Add to one row per (keys, ``_chunk``) what the other chunks of its series hold.
+
+    ``wanted`` names each new column by how it is found and the column it is
+    found in: ``sum``, ``min`` and ``max`` of the whole series, ``before`` (sum
+    over earlier chunks, 0 for the first), ``last_before`` and ``first_after``
+    (nearest value that is not null in an earlier or later chunk).
+
+    A very long series has many chunks, so these run in two levels: ``group``
+    neighbouring chunks are summed up in one row, a window over those rows
+    gives what lies outside each group, and a window per group adds the rest.
+    A task holds the chunks of one group, or one row per group of a series.
+    ``per_chunk`` is read twice: callers store it, so that the rows are not.
+    """
+    keys = list(keys)
+    inside = [*keys, "_group"]
+    rows = per_chunk.withColumn("_group", chunk_of(F.col("_chunk"), 1, group))
+    known = lambda c: F.when(F.col(c).isNotNull(), F.col("_chunk"))
+    parts = []
+    for name, (how, c) in wanted.items():
+        if how in _WHOLE:
+            parts.append(_WHOLE[how](c).alias(f"_of_{name}"))
+        else:
+            parts.append((F.max_by if how == "last_before" else F.min_by)(F.col(c), known(c)).alias(f"_of_{name}"))
+    whole = Window.partitionBy(*keys)
+    earlier = whole.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    outside = {
+        "before": lambda c: F.coalesce(F.sum(c).over(earlier), F.lit(0)),
+        "last_before": lambda c: _nearest("lag", c, keys, "_group"),
+        "first_after": lambda c: _nearest("lead", c, keys, "_group"),
+        **{how: lambda c, f=f: f(c).over(whole) for how, f in _WHOLE.items() if how != "before"},
+    }
+    groups = rows.groupBy(*inside).agg(*parts).select(*inside, *[outside[how](f"_of_{name}").alias(f"_of_{name}") for name, (how, _) in wanted.items()])
+    earlier = Window.partitionBy(*inside).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    within = {
+        "before": lambda c, out: out + F.coalesce(F.sum(c).over(earlier), F.lit(0)),
+        "last_before": lambda c, out: F.coalesce(_nearest("lag", c, inside, "_chunk"), out),
+        "first_after": lambda c, out: F.coalesce(_nearest("lead", c, inside, "_chunk"), out),
+    }
+    joined = rows.join(groups, inside)
+    made = [within.get(how, lambda _, out: out)(c, F.col(f"_of_{name}")).alias(name) for name, (how, c) in wanted.items()]
+    return joined.select(*per_chunk.columns, *made)
+
+
 # ---------------------------------------------------------------- rolling
 
 _PARTS = {"mean": {"n", "s"}, "std": {"n", "s", "q"}, "min": {"lo"}, "max": {"hi"}, "count": {"n"}, "sum": {"n", "s"}}

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewatch.operators.chunks import chunk_of, join_by_chunk
+from tidewatch.operators.chunks import across_chunks, chunk_of, join_by_chunk
+from tidewatch.operators.joins import attach
 from tidewatch.schemas import HOURLY, Panel
+from tidewatch.session import materialise
 
 FILLS = ("linear", "ffill", "bfill", "drop", None)
 _BLOCK = 4096
@@ -32,7 +34,7 @@ def _present(df: DataFrame, panel: Panel, raise_on_duplicate: bool = True) -> Da
     """Present on-grid rows, each knowing the next present row and known values.
 
     The grid of a series starts at its first timestamp. Chunks are summarised
-    into one small row each; running over those rows gives every chunk the
+    into one small row each; what the other chunks hold gives every chunk the
     series start and end, the first row after it and the nearest known values
     outside it. The rows themselves shuffle once, by (keys, chunk).
     """
@@ -45,29 +47,19 @@ def _present(df: DataFrame, panel: Panel, raise_on_duplicate: bool = True) -> Da
         .withColumn("_chunk", chunk_of(F.col("_us"), step, panel.chunk_rows))
     )
     known = F.when(F.col(panel.value).isNotNull(), F.struct(F.col("_us").alias("us"), F.col(panel.value).alias("v")))
-    whole = Window.partitionBy(*keys)
-    order = whole.orderBy("_chunk")
-    per_chunk = (
-        rows.groupBy(*keys, "_chunk", F.pmod("_us", F.lit(step)).alias("_phase"))
-        .agg(
-            F.min("_us").alias("_first"), F.max("_us").alias("_last"),
-            F.min(known).alias("_first_known"), F.max(known).alias("_last_known"),
-        )
-        .withColumn("_start", F.min("_first").over(whole))
-        .withColumn("_stop", F.max("_last").over(whole))
-        .where(F.col("_phase") == F.pmod("_start", F.lit(step)))
-        .select(
-            *keys, "_chunk", "_start",
-            (F.col("_start") + F.floor((F.col("_stop") - F.col("_start")) / step) * step).alias("_end"),
-            F.lead("_first").over(order).alias("_chunk_next"),
-            "_first_known", "_last_known",
-        )
+    per_chunk = rows.groupBy(*keys, "_chunk", F.pmod("_us", F.lit(step)).alias("_phase")).agg(
+        F.min("_us").alias("_first"), F.max("_us").alias("_last"),
+        F.min(known).alias("_first_known"), F.max(known).alias("_last_known"),
     )
-    spec = f"over (partition by {', '.join(f'`{k}`' for k in keys)} order by _chunk)"
-    per_chunk = per_chunk.select(
-        *keys, "_chunk", "_start", "_end", "_chunk_next",
-        F.expr(f"lag(_last_known) ignore nulls {spec}").alias("_before"),
-        F.expr(f"lead(_first_known) ignore nulls {spec}").alias("_after"),
+    per_chunk = materialise(per_chunk, "chunks")
+    bounds = per_chunk.groupBy(*keys).agg(F.min("_first").alias("_start"), F.max("_last").alias("_stop"))
+    per_chunk = attach(per_chunk, bounds, keys, "_chunk").where(F.col("_phase") == F.pmod("_start", F.lit(step)))
+    per_chunk = across_chunks(per_chunk, keys, panel.chunk_rows, {
+        "_chunk_next": ("first_after", "_first"), "_before": ("last_before", "_last_known"), "_after": ("first_after", "_first_known"),
+    }).select(
+        *keys, "_chunk", "_start",
+        (F.col("_start") + F.floor((F.col("_stop") - F.col("_start")) / step) * step).alias("_end"),
+        "_chunk_next", "_before", "_after",
     )
     on_grid = F.pmod(F.col("_us"), F.lit(step)) == F.pmod(F.col("_start"), F.lit(step))
     joined = join_by_chunk(rows, per_chunk, keys).where(on_grid).withColumn("_known", known)

@@ -6,7 +6,6 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidewatch.operators.joins import attach
 from tidewatch.schemas import HOURLY, LATENCY_SLA_MS, LATENCY_WINDOW, Panel
 
 
@@ -63,14 +62,14 @@ def prediction_by_id(table: DataFrame, request_id: str) -> DataFrame:
 def date_range(df: DataFrame, panel: Panel = HOURLY, start: dt.date | str | None = None, end: dt.date | str | None = None, days: int = 30) -> DataFrame:
     """Rows on the dates from start to end, both included; default the last ``days`` days.
 
-    Given dates become a half-open timestamp range, which the Parquet scan can use.
+    The dates become a half-open timestamp range, which the Parquet scan can
+    use; without an end the newest date is read first, from the time column.
     """
     ts = F.col(panel.ts)
     if end is None:
-        newest = df.agg(F.max(F.to_date(ts)).alias("_end"))
-        rows = attach(df, newest, [], [])
-        from_day = F.lit(start).cast("date") if start is not None else F.date_sub("_end", days)
-        return rows.where(F.to_date(ts) >= from_day).drop("_end")
+        end = df.agg(F.to_date(F.max(ts))).first()[0]
+        if end is None:
+            return df.where(F.lit(False))
     until = F.date_add(F.lit(end).cast("date"), 1).cast("timestamp")
     if start is None:
         start_ts = F.date_sub(F.lit(end).cast("date"), days).cast("timestamp")
