@@ -192,3 +192,19 @@ def test_binned_density_is_close_to_the_direct_sum(spark):
     direct = np.exp(-0.5 * ((x[:, None] - v) / h) ** 2).sum(1) / (len(v) * h * np.sqrt(2 * np.pi))
     assert [r.x for r in got] == pytest.approx(x.tolist())
     assert np.abs(np.array([r.density for r in got]) - direct).max() < 1e-3 * direct.max()
+
+
+def test_density_is_the_direct_sum_where_the_range_is_wide(spark):
+    """One far value makes the bandwidth narrow beside the range; copies count each, a constant series has no density."""
+    a = np.array([*wave(6000), *[800.0] * 500, 3e6])
+    b = np.array(wave(50, seed=1))
+    rows = [(k, i, float(x)) for k, v in (("a", a), ("b", b), ("flat", [5.0] * 3)) for i, x in enumerate(v)] + [("a", -1, None)]
+    df = spark.createDataFrame(rows, "series string, timestamp long, demand double").repartition(5)
+    got = explore.kde(df).collect()
+    assert len(got) == 400
+    for name, v in (("a", a), ("b", b)):
+        mine = sorted((r for r in got if r.series == name), key=lambda r: r.point)
+        h, x = v.std(ddof=1) * len(v) ** -0.2, np.linspace(v.min(), v.max(), 200)
+        direct = np.exp(-0.5 * ((x[:, None] - v) / h) ** 2).sum(1) / (len(v) * h * np.sqrt(2 * np.pi))
+        assert [r.x for r in mine] == pytest.approx(x.tolist())
+        assert [r.density for r in mine] == pytest.approx(direct.tolist(), rel=1e-9, abs=1e-12 * direct.max())
