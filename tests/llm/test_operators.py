@@ -240,3 +240,31 @@ def test_pipeline_mixing_keeps_documents_that_are_not_toxic(spark):
     assert all(after[i] >= n for i, n in before.items() if i not in toxic) and toxic & set(before)
     share = lambda c: sum(n for i, n in c.items() if i in toxic) / sum(c.values())
     assert share(after) <= share(before)
+
+
+def test_mixing_takes_toxic_documents_out_where_posteriors_are_soft(spark):
+    """Clean documents with words of toxic ones must not raise all rates until nothing leaves."""
+    rng = random.Random(8)
+    say = lambda toxic: " ".join(rng.choice("xyz" if rng.random() < toxic else "abc") + str(rng.randint(0, 30)) for _ in range(40))
+    kinds = [("clean", 0.1)] * 400 + [("toxic", 0.9)] * 200 + [("clean", 0.75)] * 40 + [(None, 0.1)] * 50 + [(None, 0.9)] * 50
+    docs = spark.createDataFrame([(i, say(t)) for i, (_, t) in enumerate(kinds)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, d) for i, (d, _) in enumerate(kinds)], "doc_id long, domain string")
+    got = Counter(r.doc_id for r in mixing.resample(docs, labels, {"toxic": 0.6}, relative=True).collect())
+    toxic = {i for i, (d, t) in enumerate(kinds) if d == "toxic" or (d is None and t > 0.5)}
+    assert all(1 <= got[i] <= 2 for i in range(len(kinds)) if i not in toxic) and all(got[i] <= 1 for i in toxic)
+    assert 0.4 < sum(got[i] for i in toxic) / len(toxic) < 0.8
+    out, names = mixing.mix_within(docs, labels, {"toxic": 0.6})
+    rows = out.collect()
+    for k, name in enumerate(names):
+        had, has = (sum(x * r.tokens * r[f"p{k}"] for x, r in ((w(r), r) for r in rows)) for w in (lambda r: 1.0, lambda r: r.rate))
+        assert abs(has - {"toxic": 0.6}.get(name, 1.0) * had) < 1e-4 * sum(r.tokens for r in rows)
+
+
+def test_mixing_of_awkward_rows_repeats_none_often_and_drops_none_on_a_tie(spark, odd, empty):
+    labels = spark.createDataFrame([(1, "clean"), (5, "toxic"), (6, "clean"), (7, "toxic")], "doc_id long, domain string")
+    before = Counter((r.doc_id, r.text) for r in odd.collect())
+    after = Counter((r.doc_id, r.text) for r in mixing.resample(odd, labels, {"toxic": 0.1}, relative=True).collect())
+    assert all(n <= 2 * before[x] for x, n in after.items())
+    # equal priors: a text without a word is as likely clean as toxic
+    assert all(after[x] >= n for x, n in before.items() if x[0] in (1, 3, 4, 6))
+    assert mixing.resample(empty, labels, {"toxic": 0.1}, relative=True).count() == 0

@@ -75,8 +75,11 @@ def memberships(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray]
     return rows.select("doc_id", "tokens", *[(F.col(f"e{k}") / whole).alias(f"p{k}") for k in range(len(names))])
 
 
-def rate_after(steps: list[list[float]], width: int) -> Column:
-    """A document's rate ``r`` after projected steps, from its posterior, and the point ``y`` of the next gradient."""
+def rate_after(steps: list[list[float]], width: int, bounded: bool = False) -> Column:
+    """A document's rate ``r`` after projected steps, from its posterior, and the point ``y`` of the next gradient.
+
+    Rates are at least 0; with ``bounded`` they are held between the document's ``low`` and ``high``.
+    """
     start = F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("y"))
     if not steps:
         return start
@@ -84,29 +87,33 @@ def rate_after(steps: list[list[float]], width: int) -> Column:
 
     def step(s, g):
         moved = sum((F.col(f"p{k}") * F.get(g, F.lit(k)) for k in range(1, width)), F.col("p0") * F.get(g, F.lit(0)))
-        r = F.greatest(F.lit(0.0), s["y"] - moved)
+        r = s["y"] - moved
+        r = F.least(F.col("high"), F.greatest(F.col("low"), r)) if bounded else F.greatest(F.lit(0.0), r)
         return F.struct(r.alias("r"), (r + F.get(g, F.lit(width)) * (r - s["r"])).alias("y"))
 
     return F.aggregate(path, start, step)
 
 
-def fit(members: DataFrame, target: np.ndarray, rounds: int = 40, tolerance: float = 1e-5) -> list[list[float]]:
+def fit(members: DataFrame, target: np.ndarray, rounds: int = 40, tolerance: float = 1e-5, bounded: bool = False) -> list[list[float]]:
     """The steps of accelerated projected gradient descent towards expected totals ``target``, each with its momentum.
 
     It ends when the totals miss the target by less than ``tolerance`` of all tokens, or after ``rounds`` when rates of at least 0 allow no better.
+    With ``bounded`` rates stay between the columns ``low`` and ``high`` (a projection too), and it also ends when no total moves by more than that.
     """
     width = len(target)
     square = [F.sum(F.col("tokens") * F.col(f"p{i}") * F.col(f"p{j}")) for i in range(width) for j in range(width)]
     m = np.array([x or 0.0 for x in members.agg(*[c.alias(f"m{k}") for k, c in enumerate(square)]).first()]).reshape(width, width)
     m += np.eye(width) * max(1e-9, 1e-9 * np.trace(m))
     steps: list[list[float]] = []
-    t = 1.0
+    t, last = 1.0, None
     for _ in range(rounds):
-        rated = members.withColumn("s", rate_after(steps, width))
+        rated = members.withColumn("s", rate_after(steps, width, bounded))
         sums = [F.sum(F.col(f"s.{x}") * F.col("tokens") * F.col(f"p{k}")).alias(f"{x}{k}") for x in "ry" for k in range(width)]
         total = np.array([x or 0.0 for x in rated.agg(*sums).first()]).reshape(2, width)
-        if np.abs(total[0] - target).max() <= tolerance * max(1.0, np.abs(target).sum()):
+        near = tolerance * max(1.0, np.abs(target).sum())
+        if np.abs(total[0] - target).max() <= near or (bounded and last is not None and np.abs(total - last).max() <= near):
             break
+        last = total
         step = np.linalg.solve(m, total[1] - target)
         after = (1 + np.sqrt(1 + 4 * t * t)) / 2
         steps.append([*step.tolist(), (t - 1) / after])
@@ -114,22 +121,18 @@ def fit(members: DataFrame, target: np.ndarray, rounds: int = 40, tolerance: flo
     return steps
 
 
-def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: float = 1.0, rows: int = TRAIN_ROWS, relative: bool = False) -> tuple[DataFrame, list[str]]:
+def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: float = 1.0, rows: int = TRAIN_ROWS) -> tuple[DataFrame, list[str]]:
     """``doc_id``, ``tokens``, ``p0`` ..., ``rate`` per row, and the domain of each posterior.
 
     ``weights`` gives each domain's share of the result (a domain not named: 0), ``budget`` the result's tokens as a multiple of
-    the input's. With ``relative`` a weight is a multiple of the share that ``docs`` themselves are expected to have of the domain (a
-    domain not named: 1). ``labelled`` has doc_id and domain.
+    the input's. ``labelled`` has doc_id and domain.
     """
     ready(docs.sparkSession)
     model = learn(docs, labelled, rows)
     names = model[0]
     members = materialise(memberships(docs, model), "memberships")
     whole = members.agg(F.sum("tokens")).first()[0] or 0.0
-    share = np.array([max(0.0, weights.get(x, float(relative))) for x in names])
-    if relative:
-        expected = members.agg(*[F.sum(F.col("tokens") * F.col(f"p{k}")).alias(f"e{k}") for k in range(len(names))]).first()
-        share = share * np.array([x or 0.0 for x in expected])
+    share = np.array([max(0.0, weights.get(x, 0.0)) for x in names])
     share = share / share.sum() if share.sum() > 0 else np.full(len(names), 1 / len(names))
     steps = fit(members, share * whole * budget)
     return members.withColumn("rate", rate_after(steps, len(names))["r"]), names
@@ -150,38 +153,54 @@ def op9_mixing(spark, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("tokens").cast("long").alias("tokens"), *[F.col(f"p{k}").alias(f"p_{n}") for k, n in enumerate(names)], "rate")
 
 
-MOST_GROWTH = 2.0
+MOST = 2.0
 
 
-def whole(out: DataFrame, names: list[str], labelled: DataFrame, lower: set[str]) -> DataFrame:
-    """``doc_id`` and ``rate`` per id: rates scaled up by the least one of the documents that are to stay, so that each has 1 at least.
+def by_id(members: DataFrame, names: list[str], labelled: DataFrame, lower: set[str]) -> DataFrame:
+    """One row per id: ``tokens`` and mean posteriors of its rows, weighted by tokens, and the bounds ``low`` and ``high`` of its rate.
 
-    Those are all but the ones that are most probably of a domain in ``lower`` and not labelled otherwise. The result grows by at most
-    ``MOST_GROWTH``; rates that are still under 1 then are set to 1.
+    An id that is to stay has a rate from 1 to ``MOST``, one that may leave from 0 to 1. Those that may leave are labelled with a domain in
+    ``lower``, or not labelled and in every row more probably of such a domain than of any other; a tie stays.
     """
-    top = F.greatest(*[F.col(f"p{k}") for k in range(len(names))]) if len(names) > 1 else F.col("p0")
-    less = F.lit(False)
-    for k, name in enumerate(names):
-        if name in lower:
-            less = less | (F.col(f"p{k}") == top)
+    width = range(len(names))
+    best = lambda kept: F.greatest(F.lit(-1.0), F.lit(-1.0), *[F.col(f"p{k}") for k in width if (names[k] in lower) == kept])
+    weight = F.greatest(F.col("tokens"), F.lit(1e-9))  # texts without a word have the prior
+    sums = [F.sum(weight * F.col(f"p{k}")).alias(f"p{k}") for k in width]
+    ids = members.withColumn("less", best(True) > best(False)).groupBy("doc_id").agg(
+        F.sum(weight).alias("_weight"), F.sum("tokens").alias("tokens"), F.min("less").alias("less"), *sums
+    )
     told = labelled.where("domain is not null and doc_id is not null").groupBy("doc_id").agg(F.max(F.col("domain").isin(*lower)).alias("_low"))
-    ids = out.select("doc_id", "rate", less.alias("less")).groupBy("doc_id").agg(F.max("rate").alias("rate"), F.min("less").alias("less"))
-    ids = ids.join(told.hint("merge"), "doc_id", "left").select("doc_id", "rate", (~F.coalesce("_low", "less")).alias("stays"))
-    ids = materialise(ids, "rates")
-    least = ids.where("stays").agg(F.min("rate")).first()[0]
-    growth = 1.0 if least is None else min(MOST_GROWTH, 1 / max(least, 1 / MOST_GROWTH))
-    rate = F.col("rate") * growth
-    return ids.select("doc_id", F.when(F.col("stays"), F.greatest(F.lit(1.0), rate)).otherwise(rate).alias("rate"))
+    leaves = F.coalesce("_low", "less")
+    return ids.join(told.hint("merge"), "doc_id", "left").select(
+        "doc_id", "tokens", *[(F.col(f"p{k}") / F.col("_weight")).alias(f"p{k}") for k in width],
+        F.when(leaves, 0.0).otherwise(1.0).alias("low"), F.when(leaves, 1.0).otherwise(MOST).alias("high"),
+    )
+
+
+def mix_within(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: float = 1.0, rows: int = TRAIN_ROWS) -> tuple[DataFrame, list[str]]:
+    """``doc_id``, ``tokens``, ``p0`` ..., ``low``, ``high``, ``rate`` per id, and the domain of each posterior.
+
+    A weight is the wanted multiple of the tokens that ``docs`` themselves are expected to have of the domain (a domain not named: 1);
+    ``budget`` multiplies them all.
+    Only documents of domains whose weight is under 1 can leave (``by_id``), and the bounds hold in every step of the fit, so that the
+    rates meet the totals themselves, or come as near as the bounds allow.
+    """
+    ready(docs.sparkSession)
+    model = learn(docs, labelled, rows)
+    names = model[0]
+    ids = materialise(by_id(memberships(docs, model), names, labelled, {x for x, w in weights.items() if w < 1}), "rates")
+    expected = ids.agg(*[F.sum(F.col("tokens") * F.col(f"p{k}")).alias(f"e{k}") for k in range(len(names))]).first()
+    target = budget * np.array([max(0.0, weights.get(x, 1.0)) * (e or 0.0) for x, e in zip(names, expected)])
+    steps = fit(ids, target, bounded=True)
+    return ids.withColumn("rate", rate_after(steps, len(names), bounded=True)["r"]), names
 
 
 def resample(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], budget: float = 1.0, rows: int = TRAIN_ROWS, relative: bool = False) -> DataFrame:
     """The documents, each as often as its rate says: the whole part always, once more by a hash of the id below the rest.
 
-    With ``relative`` only documents of domains whose weight is under 1 can leave: the budget is raised until all others have rate 1.
+    With ``relative`` weights are multiples of what the documents have and rates are bounded (``mix_within``).
     """
-    out, names = mix(docs, labelled, weights, budget, rows, relative)
-    if relative:
-        out = whole(out, names, labelled, {x for x, w in weights.items() if w < 1})
+    out, _ = mix_within(docs, labelled, weights, budget, rows) if relative else mix(docs, labelled, weights, budget, rows)
     chance = F.pmod(F.xxhash64(F.lit(23), F.col("doc_id")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     copies = out.groupBy("doc_id").agg(F.max("rate").alias("rate")).select(F.col("doc_id").alias("_id"), F.floor(F.col("rate") + chance).cast("int").alias("_copies"))
     copies = materialise(copies.where("_copies > 0"), "copies")
