@@ -21,8 +21,12 @@ NUDGE = 0.031415926
 
 
 def rounded(c, digits: int):
-    """Round for comparison; adding 0 turns a negative zero into zero."""
-    return F.round(c + F.lit(NUDGE * 10.0**-digits), digits) + F.lit(0.0)
+    """Round for comparison; adding 0 turns a negative zero into zero.
+
+    ``round`` goes through decimal text. Where a double holds the shown digits, its nearest whole number of them is the same and takes a fraction of the time.
+    """
+    x, unit = c + F.lit(NUDGE * 10.0**-digits), 10.0**digits
+    return F.when(F.abs(x) < 2.0**50 / unit, F.rint(x * unit) / unit).otherwise(F.round(x, digits)) + F.lit(0.0)
 
 
 def rounded_sql(expr: str, digits: int = 6) -> str:

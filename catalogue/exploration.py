@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from catalogue import query
-from catalogue.base import daily, daily_grid, grid, hourly, naive, plain, r, sql, table, view
+from catalogue.base import daily, daily_grid, dealt_daily, grid, hourly, naive, plain, r, sql, table, view
 from pyspark.sql import functions as F
 from tidewatch.operators import explore as e
 from tidewatch.operators.grid import regularise
@@ -175,7 +175,7 @@ view("l6", "l6 AS (SELECT series, time_bucket(INTERVAL 6 HOURS, timestamp) AS ti
   FROM (SELECT *, {full(168, 'avg')} AS a, {full(720, 'avg')} AS b, {full(168, 'stddev_samp')} AS c FROM l6)""", "l6"))
 def rolling_6h_long(spark, d):
     """The standard widths, on the long daily panel."""
-    return e.rolling_buckets(daily_grid(spark, d).drop("pos", "n"), HOURLY)
+    return e.rolling_buckets(*dealt_daily(spark, d, 720))
 
 
 # ------------------------------------------------------------ autocorrelation, decomposition

@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.frames import START, at, series, values, wave
-from tidewatch.operators.chunks import across_chunks, chunk_window, chunked, own_rows, positions, rolling
-from tidewatch.operators.grid import gap_islands, missing_timestamps, regularise
+from tidewatch.operators.chunks import across_chunks, chunk_window, chunked, own_rows, positions, rolling, streamed
+from tidewatch.operators.explore import rolling_buckets
+from tidewatch.operators.grid import deal, gap_islands, missing_timestamps, regularise
 from tidewatch.operators.split import assert_no_leak, cv_folds, temporal_split
 from tidewatch.schemas import HOURLY
 
@@ -184,3 +185,69 @@ def test_one_series_is_spread_over_tasks(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", True)
     assert len(held) == len({r.g for r in held}) == 49
     assert len({r.p for r in held}) > 1
+
+
+@pytest.mark.parametrize("fill", ["linear", "ffill", "bfill"])
+@pytest.mark.parametrize("back", [0, 3, 9])
+def test_dealt_rows_are_the_grid_with_look_back(spark, fill, back):
+    """Nulls, off-grid rows, gaps over whole chunks, series of one row and of many chunks."""
+    panel = HOURLY.on(chunk_rows=2)  # chunks of 16 rows, or of as many as look-back needs
+    given = [v if i % 5 else None for i, v in enumerate(wave(150))]
+    df = series(spark, given, gaps=[*range(3, 9), *range(20, 95), *range(99, 104)])
+    df = df.unionByName(series(spark, [None, None, 2.0], "b", at(41))).unionByName(series(spark, [None] * 20, "c", at(3.25)))
+    df = df.unionByName(spark.createDataFrame([("a", at(30.5), 7.0), ("a", at(170.5), 7.0)], df.schema)).withColumn("x", F.lit(1))
+    rows, dealt, longer = deal(df, panel, fill, back, with_position=True)
+    rows = rows.withColumn("part", F.spark_partition_id()).withColumn("id", F.monotonically_increasing_id()).toPandas()
+    assert longer and dealt.full and dealt.dealt == back
+    chunks = rows[rows["_own"]].groupby("series")["_chunk"].nunique()
+    assert all((chunks[name] == 1) == whole for name, whole in zip(rows["series"], rows["_whole"]))
+    plain = regularise(df, panel, fill, with_position=True).orderBy("series", "timestamp").toPandas()
+    own = rows[rows["_own"]].sort_values(["series", "timestamp"], ignore_index=True)
+    for c in ("series", "timestamp", "pos", "n"):
+        assert own[c].tolist() == plain[c].tolist()
+    for c in ("demand", "x"):
+        assert own[c].to_numpy() == pytest.approx(plain[c].to_numpy(), nan_ok=True)
+    for (name, _), chunk in rows.sort_values("id").groupby(["series", "_chunk"]):
+        assert chunk["part"].nunique() == 1 and (chunk["id"].diff().dropna() == 1).all()  # beside each other
+        assert (chunk["pos"].diff().dropna() == 1).all()  # in time order, no gap
+        first = chunk[chunk["_own"]]["pos"].iloc[0]
+        assert first - chunk["pos"].iloc[0] >= min(back, first)
+        whole = plain[plain["series"] == name].set_index("pos")["demand"]
+        assert chunk["demand"].to_numpy() == pytest.approx(whole[chunk["pos"]].to_numpy(), nan_ok=True)
+
+
+def test_dealt_duplicates_raise(spark):
+    df = spark.createDataFrame([("a", at(0), 1.0), ("a", at(1), 2.0), ("a", at(1), 4.0)], "series string, timestamp timestamp, demand double")
+    with pytest.raises(Exception, match="duplicate timestamp"):
+        deal(df, TINY)[0].collect()
+    with pytest.raises(ValueError):
+        deal(df, TINY, None)
+
+
+@pytest.mark.parametrize("shift", [0, 1])
+def test_streamed_windows_equal_windows(spark, shift):
+    widths, stats = [3, 5, 24], ["mean", "std", "min", "max", "count", "sum"]
+    df = series(spark, wave(150), gaps=range(30, 60)).unionByName(series(spark, [None] * 5, "b"))
+    rows, dealt, _ = deal(df, HOURLY.on(chunk_rows=4), back=25)
+    ours = streamed(rows.drop("_whole"), dealt, widths, stats, shift, (1, 7)).orderBy("series", "timestamp").toPandas()
+    full = HOURLY.on(chunk_rows=32, full=True)
+    plain = rolling(chunked(regularise(df, fill="linear"), full, 25), chunk_window(full), "demand", widths, stats, shift=shift)
+    plain = own_rows(plain.select("*", *[F.lag("demand", k).over(chunk_window(full)).alias(f"_lag_{k}") for k in (1, 7)]))
+    plain = plain.orderBy("series", "timestamp").toPandas()
+    assert len(ours) == len(plain) == 155
+    for c in plain.columns[2:]:
+        assert ours[c].to_numpy(float) == pytest.approx(plain[c].to_numpy(float), nan_ok=True, rel=1e-12), c
+
+
+def _exchanges_above_gaps(df):
+    """Shuffles of rows that are already exploded from gaps."""
+    plan = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    at = [i for i, line in enumerate(plan) if "Generate" in line]
+    assert at
+    return [line for line in plan[: at[0]] if "Exchange" in line]
+
+
+def test_rolling_buckets_shuffles_no_grid_rows(spark):
+    rows, dealt, _ = deal(series(spark, wave(50), gaps=[4]), HOURLY.on(step=86400, chunk_rows=8), back=8)
+    out = rolling_buckets(rows.drop("_whole"), dealt, widths=(3, 8))
+    assert _exchanges_above_gaps(out) == []

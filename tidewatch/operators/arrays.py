@@ -31,6 +31,43 @@ def runs(batch: pa.RecordBatch, names: list[str]) -> list[tuple[tuple, int, int]
     return list(zip(keys, starts.tolist(), [*starts[1:].tolist(), n], strict=True))
 
 
+def by_group(rows: DataFrame, names, schema, work) -> DataFrame:
+    """``work(batch, starts)`` over rows whose groups stand together; a batch holds whole groups, which begin at ``starts``.
+
+    Nothing is shuffled or sorted: rows must already stand so, as they do after ``deal``. A task holds an Arrow batch and one group.
+    """
+    names = list(names)
+
+    def run(batches):
+        held = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            b = b if held is None else pa.concat_batches([held, b])
+            starts = np.array([at for _, at, _ in runs(b, names)])
+            if starts[-1]:
+                yield work(b.slice(0, starts[-1]), starts[:-1])
+            held = b.slice(starts[-1])
+        if held is not None:
+            yield work(held, np.zeros(1, int))
+
+    return rows.mapInArrow(run, schema)
+
+
+def offsets(starts: np.ndarray, rows: int) -> np.ndarray:
+    """Each row's place in its group."""
+    return np.arange(rows) - np.repeat(starts, np.diff(np.append(starts, rows)))
+
+
+def doubles(column: pa.Array) -> np.ndarray:
+    """A column as doubles, null as NaN."""
+    return column.cast(pa.float64()).to_numpy(zero_copy_only=False)
+
+
+def nullable(values: np.ndarray, known: np.ndarray) -> pa.Array:
+    return pa.array(values, mask=~known)
+
+
 def add_arrays(parts: DataFrame, keys, value: str) -> DataFrame:
     """One array per key: the sums of the arrays in ``value``, entry by entry.
 

@@ -11,8 +11,11 @@ Key columns and times are not null, as in the series table.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from tidewatch.operators.arrays import by_group, doubles, nullable, offsets
 from tidewatch.schemas import Panel
 from tidewatch.session import materialise
 
@@ -250,3 +253,94 @@ def rolling(df: DataFrame, window, value: str, widths, stats, shift: int = 0) ->
                 "count": lambda: c["n"],
             }[stat]().alias(f"_{stat}_{width}"))
     return df.select(*kept, *made)
+
+
+# ---------------------------------------------------------------- rows from ``deal``
+
+def stands(panel: Panel, back: int) -> bool:
+    """Whether rows are dealt with at least ``back`` earlier ones."""
+    return panel.dealt is not None and panel.dealt >= back
+
+
+def undealt(df: DataFrame, panel: Panel) -> tuple[DataFrame, Panel]:
+    """Own rows only, as a plain panel."""
+    if panel.dealt is None:
+        return df, panel
+    return df.where("_own").drop("_chunk", "_own"), panel.on(dealt=None)
+
+
+def streamed(df: DataFrame, panel: Panel, widths, stats, shift: int = 0, lags=()) -> DataFrame:
+    """Own rows of dealt ones with ``_lag_{k}`` and ``_{stat}_{width}``: the same frames and sums as in ``rolling``, added as rows stream by."""
+    parts = sorted(set().union(set(), *(_PARTS[s] for s in stats)))
+    whole = {"n": T.LongType(), "count": T.LongType()}
+    made = [T.StructField(f"_lag_{k}", T.DoubleType()) for k in lags]
+    made += [T.StructField(f"_{s}_{w}", whole.get(s, T.DoubleType())) for w in sorted(set(widths)) for s in stats]
+    kept = [c for c in df.columns if c != "_own"]
+    value, steps = panel.value, _steps(widths)
+
+    def work(batch, starts):
+        rows = batch.num_rows
+        at, own = offsets(starts, rows), batch.column(batch.schema.get_field_index("_own")).to_numpy(zero_copy_only=False).astype(bool)
+        x = doubles(batch.column(batch.schema.get_field_index(value)))
+
+        def lag(a, k, nothing):
+            out = np.full(rows, nothing, a.dtype)
+            if 0 < k < rows:
+                out[k:] = a[:-k]
+                out[at < k] = nothing
+            return out if k else a
+
+        columns = [lag(x, k, np.nan)[own] for k in lags]
+        columns = [nullable(c, ~np.isnan(c)) for c in columns]
+        of = _summed(lag(x, shift, np.nan) if shift else x, steps, parts, lag) if widths else {}
+        for width in sorted(set(widths)):
+            c = {p: a[own] for p, a in of[width].items()}
+            for stat in stats:
+                with np.errstate(invalid="ignore", divide="ignore"):
+                    columns.append({
+                        "mean": lambda: nullable(c["s"] / c["n"], c["n"] > 0),
+                        "sum": lambda: nullable(c["s"], c["n"] > 0),
+                        "std": lambda: nullable(np.sqrt(c["q"] / (c["n"] - 1)), c["n"] > 1),
+                        "min": lambda: nullable(c["lo"], np.isfinite(c["lo"])),
+                        "max": lambda: nullable(c["hi"], np.isfinite(c["hi"])),
+                        "count": lambda: pa.array(c["n"].astype(np.int64)),
+                    }[stat]())
+        mask = pa.array(own)
+        same = [batch.column(batch.schema.get_field_index(c)).filter(mask) for c in kept]
+        return pa.RecordBatch.from_arrays([*same, *columns], names=[*kept, *[f.name for f in made]])
+
+    schema = T.StructType([*[df.schema[c] for c in kept], *made])
+    return by_group(df, [*panel.keys, "_chunk"], schema, work).drop("_chunk")
+
+
+def _summed(x: np.ndarray, steps: list[int], parts, lag) -> dict[int, dict[str, np.ndarray]]:
+    """``_single`` and ``_merge`` on arrays: the parts of the trailing frames of each width."""
+    known = ~np.isnan(x)
+    first = {
+        "n": known.astype(float), "s": np.where(known, x, 0.0), "q": np.zeros(len(x)),
+        "lo": np.where(known, x, np.inf), "hi": np.where(known, x, -np.inf),
+    }
+    nothing = {"n": 0.0, "s": 0.0, "q": 0.0, "lo": np.inf, "hi": -np.inf}
+    built = {1: {p: first[p] for p in parts}}
+    for width in steps:
+        pieces, offset = [], 0
+        while offset < width:
+            part = max(b for b in built if b <= width - offset)
+            pieces.append({p: lag(built[part][p], offset, nothing[p]) for p in parts})
+            offset += part
+        out = {}
+        for p in ("n", "s"):
+            if p in parts:
+                out[p] = sum((c[p] for c in pieces[1:]), pieces[0][p])
+        if "q" in parts:
+            mean = out["s"] / np.maximum(out["n"], 1)
+            out["q"] = sum((c["q"] for c in pieces[1:]), pieces[0]["q"])
+            for c in pieces:
+                out["q"] = out["q"] + (c["s"] - c["n"] * mean) ** 2 / np.maximum(c["n"], 1)
+        for p, pick in (("lo", np.minimum), ("hi", np.maximum)):
+            if p in parts:
+                out[p] = pieces[0][p]
+                for c in pieces[1:]:
+                    out[p] = pick(out[p], c[p])
+        built[width] = out
+    return built

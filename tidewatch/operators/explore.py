@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidewatch.functions.scalar import day_name, month_name, normal_quantile
 from tidewatch.operators.arrays import add_arrays, runs
-from tidewatch.operators.chunks import chunk_window, chunked, own_rows, rolling
-from tidewatch.operators.grid import resample
+from tidewatch.operators.chunks import chunk_window, chunked, own_rows, rolling, stands, streamed, undealt
+from tidewatch.operators.grid import bucket_us, resample
 from tidewatch.operators.joins import attach
 from tidewatch.operators.quantiles import exact_quantiles, running_counts
 from tidewatch.operators.split import tail, with_position
@@ -207,13 +207,19 @@ def rolling_buckets(df: DataFrame, panel: Panel = HOURLY, unit: str = "6 hours",
 
     The widths are numbers of 6-hour buckets, as computed originally (there
     labelled 7 and 30 days). Empty buckets are skipped, so the windows run by
-    rank, not by time.
+    rank, not by time. Rows dealt with enough look-back have no empty buckets and
+    stay where they are.
     """
+    made = [_full(w, "mean").alias(f"rolling_mean_{w}") for w in widths] + [_full(widths[0], "std").alias(f"rolling_std_{widths[0]}")]
+    length = bucket_us(panel, unit)
+    if length and stands(panel, max(widths) * -(-length // panel.step_us)):
+        rows = streamed(resample(df, panel, unit), panel, widths, ["mean", "std", "count"])
+        return rows.where(F.col(panel.value).isNotNull()).select(*panel.keys, panel.ts, panel.value, *made)
+    df, panel = undealt(df, panel)
     buckets = resample(df, panel, unit).where(F.col(panel.value).isNotNull())
     ranked = with_position(buckets, panel).drop("n")
     by_rank = panel.on(ts="pos", full=True)
     rows = rolling(chunked(ranked, by_rank, max(widths) - 1), chunk_window(by_rank), panel.value, widths, ["mean", "std", "count"])
-    made = [_full(w, "mean").alias(f"rolling_mean_{w}") for w in widths] + [_full(widths[0], "std").alias(f"rolling_std_{widths[0]}")]
     return rows.where("_own").select(*panel.keys, panel.ts, panel.value, *made)
 
 

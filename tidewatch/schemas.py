@@ -17,6 +17,9 @@ class Panel:
     length is cut into pieces of that length, so none is ever one task.
     ``full`` promises that no series has a gap or a repeated time; row windows
     may then be cut by time alone, which saves the shuffle that ranks the rows.
+    ``dealt`` says that rows come from ``deal``: with ``_chunk`` and ``_own``, each
+    chunk's rows beside each other in time order, after at least so many earlier
+    ones. Their windows run as rows stream by, and only own rows are returned.
     """
 
     keys: tuple[str, ...] = ("series",)
@@ -25,6 +28,7 @@ class Panel:
     step: int = 3600
     chunk_rows: int = 2048
     full: bool = False
+    dealt: int | None = None
 
     @property
     def step_us(self) -> int:
