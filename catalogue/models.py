@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from catalogue import query
 from catalogue.accuracy import NAMES, metric_sql, shown
-from catalogue.base import DAILY_GRID, GRID, VIEWS, daily_grid, grid, plain, r, split, sql, view
+from catalogue.base import DAILY_GRID, GRID, VIEWS, daily_grid, daily_parts, grid, plain, r, split, sql, view
 from tidewatch.operators import models as mo
 from tidewatch.operators.features import build_features, feature_names, lag_features
 from tidewatch.operators.forecast import SequenceForecaster, naive_forecast
+from tidewatch.operators.grid import over_parts
 from tidewatch.operators.metrics import evaluate
 from tidewatch.schemas import HOURLY
 from tidewatch.session import materialise, new_path
@@ -70,8 +71,11 @@ WEEK = ["demand_lag_1h", "demand_lag_7h"]
 
 def by_supplier(spark, d):
     """The daily panel of every supplier with two lags: as many models as suppliers."""
-    rows = lag_features(daily_grid(spark, d).drop("pos", "n"), DAILY_GRID, lags=(1, 7)).where("demand_lag_7h is not null")
-    return rows.withColumn("target", F.col("demand"))
+    return lagged_days(daily_grid(spark, d).drop("pos", "n"), DAILY_GRID)
+
+
+def lagged_days(rows, panel):
+    return lag_features(rows, panel, lags=(1, 7)).where("demand_lag_7h is not null").withColumn("target", F.col("demand"))
 
 
 @query("ridge_by_supplier", sql(f"SELECT series, m AS n, {r('b0', 5)} AS intercept, {r('b1', 5)} AS b1, {r('b2', 5)} AS b2 FROM {solved('(1 / m)').replace('FROM co', 'FROM lco')}", "lco"), digits=5)
@@ -177,7 +181,7 @@ view("lcvfit", VIEWS["cvfit"][0].replace("cvfit AS", "lcvfit AS", 1).replace("FR
   WHERE i >= st AND i < st + floor(nn / 6)::BIGINT GROUP BY 1, 2)""", "lcvfit"))
 def cv_ols_by_supplier(spark, d):
     """As many models as suppliers and folds, all in one pass."""
-    return mo.cross_validate([mo.LinearForecaster()], by_supplier(spark, d), WEEK[1:], DAILY_GRID).drop("model")
+    return over_parts(daily_parts(spark, d), lambda rows, panel: mo.cross_validate([mo.LinearForecaster()], lagged_days(rows, panel), WEEK[1:], panel)).drop("model")
 
 
 @query("model_roundtrip", sql(f"SELECT series, timestamp, {r('greatest(b0 + b1 * x1 + b2 * x2, 0)', 5)} AS predicted FROM lags2 JOIN {solved('(1 / m)')} USING (series)", "co"), digits=5)

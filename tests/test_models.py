@@ -208,3 +208,29 @@ def test_density_is_the_direct_sum_where_the_range_is_wide(spark):
         direct = np.exp(-0.5 * ((x[:, None] - v) / h) ** 2).sum(1) / (len(v) * h * np.sqrt(2 * np.pi))
         assert [r.x for r in mine] == pytest.approx(x.tolist())
         assert [r.density for r in mine] == pytest.approx(direct.tolist(), rel=1e-9, abs=1e-12 * direct.max())
+
+
+def test_folds_of_whole_series_where_they_stand(spark):
+    """The same scores as with a fold as one more key; rows leave their tasks as metrics only."""
+    from tidewatch.operators.features import lag_features
+    from tidewatch.operators.grid import over_parts, parts, regularise
+    from tidewatch.schemas import HOURLY
+
+    panel, full = HOURLY.on(chunk_rows=16), HOURLY.on(full=True)
+    df = series(spark, wave(100), gaps=range(40, 47)).unionByName(series(spark, wave(8, 3), "short")).unionByName(series(spark, wave(400, 5), "long"))
+    model = [mo.LinearForecaster()]
+
+    def run(rows, panel):
+        rows = lag_features(rows, panel, (1, 2)).where("demand_lag_2h is not null").withColumn("target", F.col("demand"))
+        return mo.cross_validate(model, rows, ["demand_lag_1h", "demand_lag_2h"], panel, gap=3)
+
+    made = parts(df, panel)
+    assert [p.whole for _, p in made] == [True, False]
+    ours = over_parts(made, run).orderBy("series", "fold").toPandas()
+    plain = run(regularise(df, panel, "linear"), full).orderBy("series", "fold").toPandas()[ours.columns.tolist()]
+    assert ours["series"].tolist() == plain["series"].tolist() and ours["fold"].tolist() == plain["fold"].tolist()
+    for c in ("rmse", "mae", "mape", "r2", "smape", "n_predictions"):
+        assert ours[c].to_numpy(float) == pytest.approx(plain[c].to_numpy(float), nan_ok=True, rel=1e-6), c
+    plan = run(*made[0])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("run(") == 2 and "partial_" in plan.split("MapInArrow")[0]  # lags, then fits and scores; nothing shuffled between
+    assert "Exchange" not in "".join(plan.split("MapInArrow")[1:2])

@@ -259,14 +259,14 @@ def rolling(df: DataFrame, window, value: str, widths, stats, shift: int = 0) ->
 
 def stands(panel: Panel, back: int) -> bool:
     """Whether rows are dealt with at least ``back`` earlier ones."""
-    return panel.dealt is not None and panel.dealt >= back
+    return panel.dealt is not None and (panel.whole or panel.dealt >= back)
 
 
 def undealt(df: DataFrame, panel: Panel) -> tuple[DataFrame, Panel]:
     """Own rows only, as a plain panel."""
     if panel.dealt is None:
         return df, panel
-    return df.where("_own").drop("_chunk", "_own"), panel.on(dealt=None)
+    return df.where("_own").drop("_chunk", "_own"), panel.on(dealt=None, whole=False)
 
 
 def streamed(df: DataFrame, panel: Panel, widths, stats, shift: int = 0, lags=()) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidewatch.functions.scalar import calendar, cyclical, is_holiday
-from tidewatch.operators.chunks import chunk_window, chunked, own_rows, rolling
+from tidewatch.operators.chunks import chunk_window, chunked, own_rows, rolling, stands, streamed, undealt
 from tidewatch.schemas import HOURLY, LAGS, ROLLING_STATS, ROLLING_WINDOWS, SEQUENCE_LENGTH, Panel
 
 
@@ -24,6 +24,10 @@ def _rolling_columns(panel: Panel, windows, stats):
 
 def lag_features(df: DataFrame, panel: Panel = HOURLY, lags=LAGS) -> DataFrame:
     """Value k rows back, for each k."""
+    if stands(panel, max(lags)):
+        rows = streamed(df, panel, (), (), lags=lags)
+        return rows.withColumnsRenamed({f"_lag_{k}": f"{panel.value}_lag_{k}h" for k in lags})
+    df, panel = undealt(df, panel)
     w = chunk_window(panel)
     return own_rows(chunked(df, panel, max(lags)).select("*", *_lag_columns(panel, w, lags)))
 

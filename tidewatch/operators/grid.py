@@ -274,8 +274,8 @@ def parts(df: DataFrame, panel: Panel = HOURLY, fill: str = "linear", **how) ->
     """The filled grid in parts for operators that need a series whole: the dealt rows of series that are, and where there are others, theirs as a plain panel."""
     rows, dealt, longer = deal(df, panel, fill, **how)
     if not longer:
-        return [(rows.drop("_whole"), dealt)]
-    return [(rows.where("_whole").drop("_whole"), dealt), (rows.where("not _whole and _own").drop("_chunk", "_own", "_whole"), panel.on(full=True))]
+        return [(rows.drop("_whole"), dealt.on(whole=True))]
+    return [(rows.where("_whole and _own").drop("_whole"), dealt.on(whole=True)), (rows.where("not _whole and _own").drop("_chunk", "_own", "_whole"), panel.on(full=True))]
 
 
 def over_parts(made: list[tuple[DataFrame, Panel]], operator) -> DataFrame:

@@ -11,11 +11,11 @@ from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidewatch.functions.scalar import non_negative
-from tidewatch.operators.arrays import BUNDLE, add_arrays, matrix, runs
+from tidewatch.operators.arrays import BUNDLE, add_arrays, by_group, doubles, matrix, nullable, runs
 from tidewatch.operators.joins import attach
 from tidewatch.operators.metrics import cv_summary, evaluate
 from tidewatch.operators.split import cv_folds
-from tidewatch.schemas import HOURLY, LASSO_ALPHA, RIDGE_ALPHA, Panel
+from tidewatch.schemas import CV_GAP, CV_SPLITS, HOURLY, LASSO_ALPHA, RIDGE_ALPHA, Panel
 from tidewatch.session import materialise
 
 
@@ -174,23 +174,30 @@ class LinearForecaster(Forecaster):
     def is_fitted(self) -> bool:
         return self.coefficients is not None
 
+    def solver(self):
+        """From the summed products of one model to its rows, intercept and coefficients."""
+        kind, alpha, max_iter = self.kind, float(self.alpha), self.max_iter
+
+        def solve(products: np.ndarray):
+            d = int((2 * len(products) + 0.25) ** 0.5)
+            n, means, c, b = _centred(products, d)
+            if kind == "ridge":
+                beta = np.linalg.solve(c + alpha * np.eye(len(b)), b)
+            elif kind == "lasso":
+                beta = _lasso(c, b, n * alpha, max_iter)
+            else:
+                beta = _least_squares(c, b)
+            return int(n), float(means[-1] - means[:-1] @ beta), list(beta)
+
+        return solve
+
     def fit(self, df: DataFrame, features: list[str], target: str = "target") -> "LinearForecaster":
         self.features = list(features)
-        kind, alpha, max_iter, d = self.kind, float(self.alpha), self.max_iter, len(features) + 2
+        one = self.solver()
 
         @F.pandas_udf("struct<n: long, intercept: double, coef: array<double>>")
         def solve(products: pd.Series) -> pd.DataFrame:
-            out = []
-            for p in products:
-                n, means, c, b = _centred(np.asarray(p, dtype=float), d)
-                if kind == "ridge":
-                    beta = np.linalg.solve(c + alpha * np.eye(len(b)), b)
-                elif kind == "lasso":
-                    beta = _lasso(c, b, n * alpha, max_iter)
-                else:
-                    beta = _least_squares(c, b)
-                out.append((int(n), float(means[-1] - means[:-1] @ beta), list(beta)))
-            return pd.DataFrame(out, columns=["n", "intercept", "coef"])
+            return pd.DataFrame([one(np.asarray(p, dtype=float)) for p in products], columns=["n", "intercept", "coef"])
 
         sums = sum_products(df, self.keys, features, target)
         # stored, so that the fit runs once and its size is known to the joins that use it
@@ -315,13 +322,17 @@ def select_features(df: DataFrame, features, target: str = "target", top_k: int
 def cross_validate(models, df: DataFrame, features, panel: Panel = HOURLY, target: str = "target", n_splits=None, gap=None) -> DataFrame:
     """Fold metrics per series and model, over expanding folds.
 
-    Linear models fit all folds in one pass, with the fold as one more key.
+    Linear models fit all folds in one pass, with the fold as one more key; where each
+    series stands whole, also where its rows stand, and score them there.
     Trees fit once per fold; ``df`` should be materialised for those.
     """
-    folds = cv_folds(df, panel, n_splits, gap)
+    series = [m for m in models if isinstance(m, LinearForecaster) and panel.whole and m.keys == panel.keys]
+    folds = cv_folds(df, panel, n_splits, gap) if len(series) < len(models) else None
     parts = []
     for model in models:
-        if isinstance(model, LinearForecaster):
+        if model in series:
+            parts.append(_fold_metrics(_scored_series(model, df, features, panel, target, n_splits, gap), panel, target, model.name))
+        elif isinstance(model, LinearForecaster):
             fresh = LinearForecaster(model.kind, model.alpha, (*model.keys, "fold"), model.max_iter, model.spread)
             fresh.fit(folds.where("role = 'train'"), features, target)
             scored = fresh.predict(folds.where("role = 'val'"))
@@ -338,6 +349,47 @@ def cross_validate(models, df: DataFrame, features, panel: Panel = HOURLY, targe
     return out
 
 
+def _scored_series(model: LinearForecaster, df: DataFrame, features, panel: Panel, target: str, n_splits, gap) -> DataFrame:
+    """Validation rows of every fold with ``predicted``, for rows whose series stand whole and in time order, where they stand.
+
+    Folds are those of ``cv_folds``: a series' training rows are its first ones, so its products are summed up once, from one fold's end to the next.
+    """
+    k, gap = CV_SPLITS if n_splits is None else n_splits, CV_GAP if gap is None else gap
+    keys, features, d, solve = list(panel.keys), list(features), len(features) + 2, model.solver()
+    names = [*keys, "fold", target, "predicted"]
+    schema = T.StructType([*[df.schema[c] for c in keys], T.StructField("fold", T.IntegerType()), df.schema[target], T.StructField("predicted", T.DoubleType())])
+    top = _upper(d)
+
+    def work(batch, starts):
+        of = lambda c: batch.column(batch.schema.get_field_index(c))
+        z = np.column_stack([np.ones(batch.num_rows), *[doubles(of(c)) for c in features], doubles(of(target))])
+        picked, folds, predicted = [], [], []
+        for at, end in zip(starts, np.append(starts[1:], batch.num_rows), strict=True):
+            n = end - at
+            size, total, upto = n // (k + 1), np.zeros((d, d)), 0
+            for fold in range(k):
+                first = n - (k - fold) * size
+                if first - gap > upto:
+                    x = z[at + upto : at + first - gap]
+                    total, upto = total + x.T @ x, first - gap
+                if not size:
+                    continue
+                rows = np.arange(at + first, at + first + size)
+                picked.append(rows)
+                folds.append(np.full(size, fold, np.int32))
+                if upto > 0:
+                    _, intercept, beta = solve(total[top])
+                    predicted.append(np.maximum(intercept + z[rows, 1:-1] @ np.asarray(beta), 0.0))
+                else:
+                    predicted.append(np.full(size, np.nan))
+        join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
+        rows, score = pa.array(join(picked, np.int64)), join(predicted, float)
+        columns = [*[of(c).take(rows) for c in keys], pa.array(join(folds, np.int32)), of(target).take(rows), nullable(score, ~np.isnan(score))]
+        return pa.RecordBatch.from_arrays(columns, names=names)
+
+    return by_group(df.select(*keys, *dict.fromkeys([*features, target])), keys, schema, work)
+
+
 def _fold_metrics(scored: DataFrame, panel: Panel, target: str, name: str) -> DataFrame:
     return evaluate(scored, (*panel.keys, "fold"), target, "predicted").withColumn("model", F.lit(name))
 

@@ -20,6 +20,7 @@ class Panel:
     ``dealt`` says that rows come from ``deal``: with ``_chunk`` and ``_own``, each
     chunk's rows beside each other in time order, after at least so many earlier
     ones. Their windows run as rows stream by, and only own rows are returned.
+    ``whole`` says that each series' rows stand beside each other in time order.
     """
 
     keys: tuple[str, ...] = ("series",)
@@ -29,6 +30,7 @@ class Panel:
     chunk_rows: int = 2048
     full: bool = False
     dealt: int | None = None
+    whole: bool = False
 
     @property
     def step_us(self) -> int:
