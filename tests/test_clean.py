@@ -148,3 +148,25 @@ def test_mean_of_group_is_unchanged_by_salting(spark):
     state = df.groupBy("series").agg(F.avg("demand").alias("m"))
     assert attach(df, state, ["series"], "timestamp").select("m").distinct().count() == 1
     assert attach(df, state.drop("series"), [], "timestamp").count() == 100
+
+
+def test_fences_where_series_stand_whole(spark):
+    """Short series get theirs where their rows are, a long one as before; the same values, and no filled row is shuffled."""
+    panel = HOURLY.on(chunk_rows=16)
+    raw = wave(100)
+    raw[20], raw[50], raw[60] = 5000.0, -300.0, None
+    df = series(spark, raw, gaps=range(70, 80)).unionByName(series(spark, [None, 3.0], "b")).unionByName(series(spark, [None] * 3, "c"))
+    short = df.withColumn("note", F.lit("x"))
+    both = short.unionByName(series(spark, wave(300, 9)[:-1] + [9999.0], "long").withColumn("note", F.lit("y")))
+    for frame in (short, both):
+        got = c.clean(frame, panel, keep_flag=True, with_position=True).orderBy("series", "timestamp").toPandas()
+        plain = c.regularise(frame, panel, "linear", with_position=True)
+        plain = c.cap_iqr(plain, c.fit_iqr_bounds(plain, panel), panel).withColumn("demand", clip_range("demand"))
+        plain = plain.orderBy("series", "timestamp").toPandas()
+        assert got.columns.tolist() == plain.columns.tolist()
+        assert got["demand"].to_numpy(float) == pytest.approx(plain["demand"].to_numpy(float), nan_ok=True)
+        for name in ("series", "timestamp", "pos", "n", "is_outlier"):
+            assert got[name].tolist() == plain[name].tolist()
+        assert got["note"].fillna("").tolist() == plain["note"].fillna("").tolist()
+    plan = c.clean(short, panel)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.split("Generate")[0] and "MapInArrow" in plan.split("Generate")[0]

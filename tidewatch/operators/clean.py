@@ -5,32 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidewatch.functions.scalar import clip_range
-from tidewatch.operators.grid import regularise
+from tidewatch.operators.grid import over_parts, parts, regularise
 from tidewatch.operators.joins import attach
-from tidewatch.operators.quantiles import exact_quantiles
+from tidewatch.operators.quantiles import exact_quantiles, with_quantiles
 from tidewatch.schemas import HOURLY, IQR_MULTIPLIER, MAX_DEMAND, MIN_DEMAND, ZSCORE_THRESHOLD, Panel
 from tidewatch.session import materialise
 
 OUTLIER_METHODS = ("iqr", "zscore", "both")
+QUARTILES = {"q1": 0.25, "q3": 0.75}
 
 
 # ------------------------------------------------------------ outliers
 
 def fit_iqr_bounds(df: DataFrame, panel: Panel = HOURLY, k: float = IQR_MULTIPLIER) -> DataFrame:
     """Quartile fences per series."""
-    q = exact_quantiles(df, panel.keys, panel.value, {"q1": 0.25, "q3": 0.75})
+    q = exact_quantiles(df, panel.keys, panel.value, QUARTILES)
+    return q.select(*panel.keys, "q1", "q3", *_fences(k))
+
+
+def _fences(k: float):
     spread = F.col("q3") - F.col("q1")
-    return q.select(*panel.keys, "q1", "q3", (F.col("q1") - k * spread).alias("lower"), (F.col("q3") + k * spread).alias("upper"))
+    return (F.col("q1") - k * spread).alias("lower"), (F.col("q3") + k * spread).alias("upper")
 
 
 def cap_iqr(df: DataFrame, bounds: DataFrame, panel: Panel = HOURLY) -> DataFrame:
     """Values strictly outside the fences become the fence; adds ``is_outlier``."""
+    return _capped(attach(df, bounds.select(*panel.keys, "lower", "upper"), panel.keys, panel.ts), panel)
+
+
+def _capped(rows: DataFrame, panel: Panel) -> DataFrame:
     v = F.col(panel.value)
     low, high = F.col("lower"), F.col("upper")
-    rows = attach(df, bounds.select(*panel.keys, "lower", "upper"), panel.keys, panel.ts)
     flagged = F.coalesce((v < low) | (v > high), F.lit(False))
     capped = F.when(v < low, low).when(v > high, high).otherwise(v)
-    seen = F.col("is_outlier") | flagged if "is_outlier" in df.columns else flagged
+    seen = F.col("is_outlier") | flagged if "is_outlier" in rows.columns else flagged
     return rows.withColumn("is_outlier", seen).withColumn(panel.value, capped).drop("lower", "upper")
 
 
@@ -61,9 +69,15 @@ def treat_outliers(
     df: DataFrame, panel: Panel = HOURLY, method: str = "iqr", bounds: DataFrame | None = None,
     k: float = IQR_MULTIPLIER, threshold: float = ZSCORE_THRESHOLD,
 ) -> DataFrame:
-    """Cap by quartile fences, replace by z-score, or both in that order; adds ``is_outlier``."""
+    """Cap by quartile fences, replace by z-score, or both in that order; adds ``is_outlier``.
+
+    Where each series stands whole, its fences are found there and not joined.
+    """
     if method not in OUTLIER_METHODS:
         raise ValueError(f"Unknown outlier method: {method}")
+    if method == "iqr" and bounds is None and panel.whole:
+        fenced = with_quantiles(df, panel, (), panel.value, QUARTILES)
+        return _capped(fenced.select(*df.columns, *_fences(k)), panel)
     if method in ("iqr", "both"):
         df = cap_iqr(df, fit_iqr_bounds(df, panel, k) if bounds is None else bounds, panel)
     if method in ("zscore", "both"):
@@ -83,8 +97,17 @@ def clean(
 
     ``bounds="self"`` takes the fences from this data even when transforming
     new data (the observed behaviour); pass a fitted frame to use stored ones.
-    ``staged`` writes the filled grid once, as fences need passes of their own.
+    ``staged`` writes the filled grid once, as fences need passes of their own;
+    where they need none, in series that fit into a chunk, it makes no difference.
     """
+    if method == "iqr" and isinstance(bounds, str) and fill in ("linear", "ffill", "bfill"):
+        def treated(rows, panel):
+            rows = materialise(rows, "filled") if staged and not panel.whole else rows
+            return treat_outliers(rows, panel, method).drop("_chunk", "_own")
+
+        filled = parts(df, panel, fill, on_duplicate=on_duplicate, order_by=order_by, with_position=with_position)
+        out = over_parts(filled, treated).withColumn(panel.value, clip_range(panel.value, low, high))
+        return out if keep_flag else out.drop("is_outlier")
     filled = regularise(df, panel, fill, on_duplicate, order_by, with_position=with_position and fill != "drop")
     if staged:
         filled = materialise(filled, "filled")

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from tidewatch.operators.arrays import by_group, doubles, nullable
 from tidewatch.operators.joins import attach
+from tidewatch.schemas import Panel
 from tidewatch.session import materialise
 
 ACCURACY = 10_000
@@ -145,6 +149,40 @@ def _picked(rows: DataFrame, state: DataFrame, keys, wanted, probs, inside) -> D
     return _joined(state.select(*keys, "_n"), found, keys).where("_at0a is not null").select(*keys, *made)
 
 
+def with_quantiles(df: DataFrame, panel: Panel, by, value: str, probs: dict[str, float]) -> DataFrame:
+    """Each row with the ``exact_quantiles`` of its series and ``by``, for rows whose series stand whole: nothing is shuffled, a task holds one series.
+
+    Nulls and NaN are left out; rows of a group without values get null.
+    """
+    keys, by = list(panel.keys), list(by)
+    schema = T.StructType([*df.schema, *[T.StructField(name, T.DoubleType()) for name in probs]])
+
+    def work(batch, starts):
+        of = lambda c: batch.column(batch.schema.get_field_index(c))
+        rows = batch.num_rows
+        group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, rows)))
+        for c in by:
+            codes = of(c).dictionary_encode(null_encoding="encode")
+            group = group * len(codes.dictionary) + codes.indices.to_numpy()
+        group = np.unique(group, return_inverse=True)[1]
+        v = doubles(of(value))
+        known = np.flatnonzero(~np.isnan(v))
+        order = known[np.lexsort((v[known], group[known]))]
+        ordered, n = v[order], np.bincount(group[order], minlength=group.max() + 1)
+        first, some = np.cumsum(n) - n, n > 0
+        made = []
+        for p in probs.values():
+            spot = p * (n - 1)
+            low = np.floor(spot)
+            at = np.where(some, first + low, 0).astype(int)
+            up = np.where(some, first + np.ceil(spot), 0).astype(int)
+            q = ordered[at] + (ordered[up] - ordered[at]) * (spot - low) if len(ordered) else np.zeros(len(n))
+            made.append(nullable(q[group], some[group]))
+        return pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, *probs])
+
+    return by_group(df, [*keys, "_chunk"], schema, work)
+
+
 def running_counts(df: DataFrame, keys, value: str, counts: list[str], buckets: int | None = None) -> DataFrame:
     """Running totals of ``counts`` over distinct values in order, per key.
 
