@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tests.frames import at, series, values, wave
 from tidewatch.functions.scalar import calendar, is_holiday
 from tidewatch.operators import features as f
+from tidewatch.operators.grid import deal, regularise
 from tidewatch.operators.split import temporal_split
 from tidewatch.schemas import HOURLY
 
@@ -101,3 +102,19 @@ def test_row_windows_on_gaps_equal_plain_windows(spark, chunk):
     want = df.select("timestamp", F.coalesce(F.abs((x - m) / (s + 1e-8)), F.lit(0.0)).alias("want"))
     z = anomaly.rolling_z(df, anomaly.fit_rolling_z(df), panel, window=40).join(want, "timestamp")
     assert z.count() == n and z.where("abs(z - want) > 1e-6").isEmpty()
+
+
+def test_dealt_feature_matrix_equals_the_windowed_one(spark):
+    """The same matrix; above the exploded gaps nothing is shuffled or sorted."""
+    df = series(spark, wave(400), gaps=range(50, 90)).unionByName(series(spark, [None, 5.0, 6.0], "b"))
+    rows, dealt, _ = deal(df, HOURLY.on(chunk_rows=16), back=30)
+    how = dict(lags=(1, 24, 30), windows=(3, 24))
+    ours = f.build_features(rows.drop("_whole"), dealt, **how)
+    plain = f.build_features(regularise(df, fill="linear"), HOURLY.on(full=True), **how)
+    assert ours.dtypes == plain.dtypes
+    plan = ours._jdf.queryExecution().executedPlan().toString().split("Generate")[0]
+    assert "MapInArrow" in plan and "Exchange" not in plan and "Sort" not in plan
+    ours, plain = (x.orderBy("series", "timestamp").toPandas() for x in (ours, plain))
+    assert ours["timestamp"].tolist() == plain["timestamp"].tolist() and len(ours) == 370
+    for c in plain.columns[2:]:
+        assert ours[c].to_numpy(float) == pytest.approx(plain[c].to_numpy(float), rel=1e-12), c
