@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from catalogue import query
-from catalogue.base import daily, daily_grid, dealt_daily, grid, hourly, naive, plain, r, sql, table, view
+from catalogue.base import daily, daily_parts, dealt_daily, grid, hourly, naive, plain, r, sql, table, view
 from pyspark.sql import functions as F
 from tidewatch.operators import explore as e
-from tidewatch.operators.grid import regularise
+from tidewatch.operators.grid import over_parts, regularise
 from tidewatch.operators.metrics import residual_histogram
 from tidewatch.functions.scalar import _CENTRE, _FAR, _NEAR
 from tidewatch.operators.quantiles import exact_quantiles
@@ -77,7 +77,7 @@ view("lmonth", "lmonth AS (SELECT *, month(timestamp) AS month, strftime(timesta
 
 @query("monthly_box", sql(box_sql("lmonth", "series, month, month_name"), "lmonth"))
 def monthly_box(spark, d):
-    return e.monthly_box(daily_grid(spark, d).drop("pos", "n"), DAILY)
+    return over_parts(daily_parts(spark, d), e.monthly_box)
 
 
 @query("quantiles_by_flag", f"""SELECT l_returnflag, {r('quantile_cont(l_extendedprice, 0.01)')} AS p01, {r('quantile_cont(l_extendedprice, 0.5)')} AS p50,

@@ -234,3 +234,22 @@ def test_folds_of_whole_series_where_they_stand(spark):
     plan = run(*made[0])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("run(") == 2 and "partial_" in plan.split("MapInArrow")[0]  # lags, then fits and scores; nothing shuffled between
     assert "Exchange" not in "".join(plan.split("MapInArrow")[1:2])
+
+
+def test_boxes_where_series_stand_whole(spark):
+    """Months of short series are boxed where their rows are; those of a long one as before."""
+    from tidewatch.operators.grid import over_parts, parts, regularise
+
+    panel, full = HOURLY.on(step=86400, chunk_rows=16), HOURLY.on(step=86400, full=True)
+    df = series(spark, wave(2400, 4, size=300.0), gaps=range(30, 300)).unionByName(series(spark, [None, 3.0], "b"))
+    df = df.groupBy("series", F.date_trunc("day", "timestamp").alias("timestamp")).agg(F.max("demand").alias("demand"))
+    long = series(spark, [1.0, 900.0], "long").withColumn("timestamp", F.expr("timestamp + make_interval(0, 0, 0, (demand / 2)::int)"))
+    made = parts(df.unionByName(long), panel)
+    assert [p.whole for _, p in made] == [True, False]
+    ours = over_parts(made, explore.monthly_box).orderBy("series", "month").toPandas()
+    plain = explore.monthly_box(regularise(df.unionByName(long), panel, "linear"), full).orderBy("series", "month").toPandas()
+    assert ours.columns.tolist() == plain.columns.tolist() and ours[["series", "month_name"]].equals(plain[["series", "month_name"]])
+    for c in plain.columns[3:]:
+        assert ours[c].to_numpy(float) == pytest.approx(plain[c].to_numpy(float)), c
+    plan = explore.monthly_box(*made[0])._jdf.queryExecution().executedPlan().toString().split("Generate")[0]
+    assert plan.count("Exchange") == 1 and "partial_" in plan.split("Exchange")[1]  # one row a box and task

@@ -13,7 +13,7 @@ from tidewatch.operators.arrays import add_arrays, runs
 from tidewatch.operators.chunks import chunk_window, chunked, own_rows, rolling, stands, streamed, undealt
 from tidewatch.operators.grid import bucket_us, resample
 from tidewatch.operators.joins import attach
-from tidewatch.operators.quantiles import exact_quantiles, running_counts
+from tidewatch.operators.quantiles import exact_quantiles, running_counts, with_quantiles
 from tidewatch.operators.split import tail, with_position
 from tidewatch.schemas import HOURLY, Panel
 from tidewatch.session import materialise
@@ -68,8 +68,11 @@ def box_stats(df: DataFrame, panel: Panel = HOURLY, by=()) -> DataFrame:
     """Quartiles, whiskers (furthest values within 1.5 IQR) and the count of outliers."""
     keys, v = [*panel.keys, *by], F.col(panel.value)
     df = df.where(v.isNotNull())
-    q = exact_quantiles(df, keys, panel.value, {"q1": 0.25, "median": 0.5, "q3": 0.75})
-    rows = attach(df.select(*keys, panel.ts, panel.value), q, keys, panel.ts)
+    probs = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    if panel.whole:
+        rows = with_quantiles(df.select(*keys, "_chunk", panel.value), panel, by, panel.value, probs)
+    else:
+        rows = attach(df.select(*keys, panel.ts, panel.value), exact_quantiles(df, keys, panel.value, probs), keys, panel.ts)
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     low, high = F.col("q1") - reach, F.col("q3") + reach
     out = rows.groupBy(*keys, "q1", "median", "q3").agg(
@@ -84,8 +87,9 @@ def box_stats(df: DataFrame, panel: Panel = HOURLY, by=()) -> DataFrame:
 
 def monthly_box(df: DataFrame, panel: Panel = HOURLY) -> DataFrame:
     """Box statistics per calendar month; absent months are absent."""
-    rows = df.withColumn("month", F.month(panel.ts)).withColumn("month_name", month_name(panel.ts))
-    return box_stats(rows, panel, ("month", "month_name"))
+    boxes = box_stats(df.withColumn("month", F.month(panel.ts)), panel, ("month",))
+    name = month_name(F.make_date(F.lit(2000), F.col("month"), F.lit(1)))
+    return boxes.select(*panel.keys, "month", name.alias("month_name"), *boxes.columns[len(panel.keys) + 1:])
 
 
 def _span(df: DataFrame, panel: Panel) -> DataFrame:
